@@ -12,7 +12,7 @@ fitted and scored in one plan; only d x d matrices are ever gathered per asset.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -57,7 +57,7 @@ def mvad_moments(bins: DataFrame) -> DataFrame:
     )
 
 
-def _scales(bins: DataFrame, features: DataFrame) -> DataFrame:
+def scales(bins: DataFrame, features: DataFrame) -> DataFrame:
     """One row per asset: tags, means and deviations as arrays in feature order."""
     cell = F.struct("ordinal", "tag", "mean", "sd")
     return (
@@ -74,7 +74,7 @@ def _scales(bins: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
-def vectors(bins: DataFrame, scales: DataFrame) -> DataFrame:
+def vectors(bins: DataFrame, scale: DataFrame) -> DataFrame:
     """``asset, timestamp, z, missing``: one standardised vector per asset and bin."""
     # map_from_entries cannot hold a null value, and a null reading is a missing one.
     readings = F.map_from_entries(F.collect_list(F.struct("tag", "value")))
@@ -82,7 +82,7 @@ def vectors(bins: DataFrame, scales: DataFrame) -> DataFrame:
         bins.filter(F.col("value").isNotNull())
         .groupBy("asset", "timestamp")
         .agg(readings.alias("_readings"))
-        .join(scales.select("asset", "tags", "means", "sds"), "asset")
+        .join(scale.select("asset", "tags", "means", "sds"), "asset")
     )
     reading = F.col("_readings")
 
@@ -160,6 +160,18 @@ def correlations(vecs: DataFrame) -> DataFrame:
     return gathered.select("asset", F.transform("_products", scaled).alias("correlation"))
 
 
+def correlation_rows(matrix: DataFrame, keys: Sequence[str] = ("asset",)) -> DataFrame:
+    """Flat matrices with their ``tags`` to rows ``tag <= tag1``, ``correlation``."""
+    d = F.size("tags")
+    cells = matrix.select(*keys, "tags", F.posexplode("correlation").alias("_at", "correlation"))
+    return (
+        cells.withColumn("tag", F.col("tags")[F.floor(F.col("_at") / d).cast("int")])
+        .withColumn("tag1", F.col("tags")[F.pmod(F.col("_at"), d)])
+        .filter(F.col("tag") <= F.col("tag1"))
+        .select(*keys, "tag", "tag1", "correlation")
+    )
+
+
 @F.pandas_udf(ArrayType(ArrayType(DoubleType())))
 def _precision(correlation: pd.Series) -> pd.Series:
     def invert(flat) -> list:
@@ -204,9 +216,9 @@ def mvad_fit(
     diagonal = mode == "diagonal"
     past = telemetry.filter(F.col("timestamp") < timing.literal(cutoff))
     bins = asset_bins(past, features, step)
-    scales = _scales(bins, features)
-    vecs = vectors(bins, scales)
-    model = scales
+    scale = scales(bins, features)
+    vecs = vectors(bins, scale)
+    model = scale
     if not diagonal:
         model = model.join(correlations(vecs), "asset").withColumn(
             "precision", _precision("correlation")

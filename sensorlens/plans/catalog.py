@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from sensorlens.plans import series_queries  # noqa: F401
+from sensorlens.plans import asset_queries, detector_queries, series_queries  # noqa: F401
 from sensorlens.plans.registry import QUERIES, runner
 
 __all__ = ["QUERIES", "runner"]
