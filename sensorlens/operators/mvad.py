@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from sensorlens.functions import timing
 from sensorlens.operators.assets import model_asof
 from sensorlens.operators.ranges import Moment, in_range, split_counts
+from sensorlens.session import hold
 from sensorlens.sources.files import append_table
 
 RIDGE = 1e-3
@@ -210,12 +211,17 @@ def mvad_fit(
     window: int = SLIDING_WINDOW,
     mode: str = "full",
 ) -> DataFrame:
-    """Model table, one row per asset, from the bins strictly before ``cutoff``."""
+    """Model table, one row per asset, from the bins strictly before ``cutoff``.
+
+    The training bins are read three times (moments, correlations, threshold), so they are held
+    as a table instead of scanning the telemetry again. The model is held as well: it is what
+    the scoring jobs start from.
+    """
     if mode not in ("full", "diagonal"):
         raise ValueError("mode is 'full' or 'diagonal'")
     diagonal = mode == "diagonal"
     past = telemetry.filter(F.col("timestamp") < timing.literal(cutoff))
-    bins = asset_bins(past, features, step)
+    bins = hold(asset_bins(past, features, step), "mvad-bins")
     scale = scales(bins, features)
     vecs = vectors(bins, scale)
     model = scale
@@ -223,6 +229,7 @@ def mvad_fit(
         model = model.join(correlations(vecs), "asset").withColumn(
             "precision", _precision("correlation")
         )
+    model = hold(model, "mvad-matrices")
     needed = ["asset"] if diagonal else ["asset", "precision"]
     limits = (
         _with_score(vecs, model.select(*needed), diagonal)
@@ -232,7 +239,8 @@ def mvad_fit(
             F.count("*").alias("train_bins"),
         )
     )
-    return model.join(limits, "asset").withColumn("sliding_window", F.lit(window))
+    fitted = model.join(limits, "asset").withColumn("sliding_window", F.lit(window))
+    return hold(fitted, "mvad-model")
 
 
 def mvad_vectors(
@@ -264,7 +272,10 @@ def mvad_score(vecs: DataFrame, model: DataFrame) -> DataFrame:
 
 def mvad_contributions(vecs: DataFrame, model: DataFrame) -> DataFrame:
     """Share of each sensor in each anomaly; shares are in [0, 1] and sum to 1."""
-    judged = _judged(vecs, model).filter("is_anomaly")
+    return _shares(_judged(vecs, model).filter("is_anomaly")).drop("_at")
+
+
+def _shares(judged: DataFrame) -> DataFrame:
     share = F.transform("_parts", lambda p: F.greatest(p, F.lit(0.0)))
     return (
         judged.withColumn("_share", share)
@@ -338,9 +349,19 @@ def mvad_explain(
     vecs: DataFrame, model: DataFrame, step: str | int, window: int = SLIDING_WINDOW
 ) -> DataFrame:
     """Explanations: contributions plus, per sensor, how far its correlation with every other
-    sensor moved from the trained one over the trailing window, largest move first."""
-    shares = mvad_contributions(vecs, model)
-    targets = shares.filter(F.col("_at") == 0).select("asset", "timestamp")
+    sensor moved from the trained one over the trailing window, largest move first.
+
+    ``vecs`` is read twice; hold it as a table when it is costly to compute.
+    """
+    judged = _judged(vecs, model).filter("is_anomaly")
+    judged = hold(
+        judged.select(
+            "asset", "timestamp", "score", "severity", "is_anomaly", "tags", "_parts"
+        ),
+        "mvad-anomalies",
+    )
+    shares = _shares(judged)
+    targets = judged.select("asset", "timestamp")
     moved = window_correlations(targets, vecs, step, window).join(
         model.select("asset", "tags", "correlation"), "asset"
     )

@@ -471,16 +471,16 @@ def _(t):
             SELECT *, CAST(coalesce(greatest(1, ceil(sqrt((lat1 - lat) ** 2 + (lon1 - lon) ** 2)
                 / 0.05)), 1) AS BIGINT) AS pieces FROM p),
         s AS (SELECT *, unnest(range(pieces)) AS step FROM n)
-        SELECT vehicle_id, idx, step, round(CASE WHEN step = 0 THEN lat
-                ELSE lat + (lat1 - lat) * step / pieces END, 8) AS lat,
-            round(CASE WHEN step = 0 THEN lon ELSE lon + (lon1 - lon) * step / pieces END, 8) AS lon
+        SELECT vehicle_id, idx, step,
+            CASE WHEN step = 0 THEN lat ELSE lat + (lat1 - lat) * (step / pieces) END AS lat,
+            CASE WHEN step = 0 THEN lon ELSE lon + (lon1 - lon) * (step / pieces) END AS lon
         FROM s
         """,
     ),
 )
 def _(t):
     path = ordering.ordered_index(t.vehicles, "vehicle_id", ["timestamp", "event_id"])
-    return rounded(reshape.densify_path(path, 0.05, "vehicle_id"), "lat", "lon", digits=8)
+    return reshape.densify_path(path, 0.05, "vehicle_id")
 
 
 # -- alerts -------------------------------------------------------------------------------------

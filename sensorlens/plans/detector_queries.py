@@ -64,7 +64,7 @@ def _(t):
     ),
 )
 def _(t):
-    past = _past(t)
+    past = session.hold(_past(t), "bins")
     scales = mvad.scales(past, t.reading_features)
     matrix = mvad.correlations(mvad.vectors(past, scales)).join(scales, "asset")
     return rounded(mvad.correlation_rows(matrix), "correlation")
@@ -105,7 +105,8 @@ def _(t):
 
 def _full(t):
     model = mvad.mvad_fit(t.telemetry, t.features, CUTOFF, "1hour", window=48)
-    return mvad.mvad_vectors(t.telemetry, t.features, model, "1hour"), model
+    vecs = mvad.mvad_vectors(t.telemetry, t.features, model, "1hour")
+    return session.hold(vecs, "vectors"), model
 
 
 @query("mvad_score")
@@ -123,14 +124,22 @@ def _(t):
 @query(
     "window_correlations",
     sql(
-        "readings",
-        f"""
-        WITH {_BINS},
+        "telemetry features",
+        """
+        WITH bins AS (
+            SELECT asset, tag, time_bucket(INTERVAL 1 HOUR, timestamp) AS timestamp, avg(value) AS v
+            FROM telemetry JOIN features USING (tag) GROUP BY ALL),
+        m AS (SELECT tag, avg(v) AS mean, stddev_samp(v) AS sd FROM bins GROUP BY tag),
+        z AS (
+            SELECT x.asset, x.timestamp, features.tag, coalesce((v - mean) / sd, 0) AS z
+            FROM (SELECT DISTINCT asset, timestamp FROM bins) x JOIN features USING (asset)
+            JOIN m USING (tag) LEFT JOIN bins
+                ON bins.tag = features.tag AND bins.timestamp = x.timestamp),
         pairs AS (
-            SELECT a.asset, a.timestamp, a.tag, b.tag AS tag1, corr(a.v, b.v) OVER (
-                PARTITION BY a.asset, a.tag, b.tag ORDER BY a.timestamp
-                RANGE BETWEEN INTERVAL 99 MINUTE PRECEDING AND CURRENT ROW) AS r
-            FROM bins a JOIN bins b ON a.asset = b.asset AND a.timestamp = b.timestamp
+            SELECT a.asset, a.timestamp, a.tag, b.tag AS tag1, corr(a.z, b.z) OVER (
+                PARTITION BY a.tag, b.tag ORDER BY a.timestamp
+                RANGE BETWEEN INTERVAL 47 HOUR PRECEDING AND CURRENT ROW) AS r
+            FROM z a JOIN z b ON a.asset = b.asset AND a.timestamp = b.timestamp
                 AND a.tag <= b.tag)
         SELECT asset, timestamp, tag, tag1, round(CASE WHEN isnan(r) THEN NULL ELSE r END, 6)
             AS correlation FROM pairs
@@ -138,11 +147,10 @@ def _(t):
     ),
 )
 def _(t):
-    # Correlations do not depend on the scale, so any fitted scale gives the same matrix.
-    bins = _bins(t)
-    scales = mvad.scales(bins, t.reading_features)
-    vecs = mvad.vectors(bins, scales)
-    moved = mvad.window_correlations(vecs.select("asset", "timestamp"), vecs, STEP, 100)
+    bins = session.hold(mvad.asset_bins(t.telemetry, t.features, "1hour"), "bins")
+    scales = mvad.scales(bins, t.features)
+    vecs = session.hold(mvad.vectors(bins, scales), "vectors")
+    moved = mvad.window_correlations(vecs.select("asset", "timestamp"), vecs, "1hour", 48)
     matrix = moved.withColumnRenamed("window_correlation", "correlation").join(scales, "asset")
     return rounded(mvad.correlation_rows(matrix, ["asset", "timestamp"]), "correlation")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. Broadcast joins are left to Catalyst and AQE, which check the
 # size of the side first; hot join keys are split by the AQE skew rule.
@@ -37,3 +37,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="sensorlens-")
     return f"{root.rstrip('/')}/sensorlens/{purpose}-{uuid.uuid4().hex}"
+
+
+def hold(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes a result that several later steps read, and reads it back.
+
+    The table lies in the shared folder, so it outlives lost executors, the steps behind it are
+    not computed again, and Catalyst knows its size when it picks a join.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
