@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from sensorlens.functions import timing
+from sensorlens.functions.aggregates import numeric_agg
 from sensorlens.operators.assets import model_asof
 from sensorlens.operators.ranges import Moment, in_range, split_counts
 from sensorlens.session import hold
@@ -34,67 +35,110 @@ QUANTILE = 0.99
 QUANTILE_ACCURACY = 100_000
 # Fixed value: bins in the trailing window of the detector.
 SLIDING_WINDOW = 280
+# Features that one row of the widening aggregate holds; keeps it inside generated code.
+_SLAB = 32
 # Partial matrices held by one task before they are handed on.
 _HELD_CELLS = 4_000_000
 
 
-def asset_bins(
+def feature_lists(features: DataFrame) -> DataFrame:
+    """One row per asset: its tags in feature order."""
+    cell = F.struct("ordinal", "tag")
+    return features.groupBy("asset").agg(F.array_sort(F.collect_list(cell))["tag"].alias("tags"))
+
+
+def asset_frames(
     telemetry: DataFrame, features: DataFrame, step: str | int, agg: str = "avg"
 ) -> DataFrame:
-    """``asset, timestamp, tag, value``: binned first, then joined to the feature table."""
-    binned = telemetry.groupBy(
-        "tag", timing.time_bin(F.col("timestamp"), step).alias("timestamp")
-    ).agg(F.expr(f"{agg}(value)").alias("value"))
-    return binned.join(features.select("tag", "asset"), "tag").select(
-        "asset", "timestamp", "tag", "value"
+    """``asset, timestamp, values``: one row per asset and bin, readings in feature order.
+
+    A reading goes straight into the slot of its feature, so binning and widening are one hash
+    aggregation with map-side partials and one shuffle. Features beyond ``_SLAB`` go into
+    further rows of slots that are put side by side afterwards.
+    """
+    places = feature_lists(features).select(
+        "asset", F.posexplode("tags").alias("_place", "tag")
     )
+    width = (places.agg(F.max("_place")).first()[0] or 0) + 1
+    slots = [
+        numeric_agg(agg, F.when(F.col("_slot") == i, F.col("value"))).alias(f"_v{i}")
+        for i in range(min(width, _SLAB))
+    ]
+    rows = telemetry.join(places, "tag").select(
+        "asset",
+        timing.time_bin(F.col("timestamp"), step).alias("timestamp"),
+        "value",
+        F.floor(F.col("_place") / _SLAB).cast("int").alias("_slab"),
+        F.pmod("_place", F.lit(_SLAB)).alias("_slot"),
+    )
+    together = F.array(*[f"_v{i}" for i in range(len(slots))])
+    if width <= _SLAB:
+        frames = rows.groupBy("asset", "timestamp").agg(*slots)
+        frames = frames.select("asset", "timestamp", together.alias("values"))
+    else:
+        parts = rows.groupBy("asset", "timestamp", "_slab").agg(*slots)
+        parts = parts.select("asset", "timestamp", "_slab", together.alias("_values"))
+        nothing = F.array_repeat(F.lit(None).cast("double"), _SLAB)
+        slabs = [
+            F.coalesce(
+                F.first(F.when(F.col("_slab") == k, F.col("_values")), ignorenulls=True), nothing
+            )
+            for k in range(-(-width // _SLAB))
+        ]
+        frames = parts.groupBy("asset", "timestamp").agg(
+            F.slice(F.concat(*slabs), 1, width).alias("values")
+        )
+    return frames.filter(F.exists("values", lambda v: v.isNotNull()))
 
 
-def mvad_moments(bins: DataFrame) -> DataFrame:
-    return bins.groupBy("asset", "tag").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.count("value").alias("bins"),
+def _moments(frames: DataFrame) -> DataFrame:
+    """Mean and deviation per asset and place, over the bins that have a reading."""
+    cells = frames.select("asset", F.posexplode("values").alias("_place", "_value"))
+    return cells.groupBy("asset", "_place").agg(
+        F.avg("_value").alias("mean"),
+        F.stddev_samp("_value").alias("sd"),
+        F.count("_value").alias("bins"),
     )
 
 
-def scales(bins: DataFrame, features: DataFrame) -> DataFrame:
+def mvad_moments(frames: DataFrame, features: DataFrame) -> DataFrame:
+    """``asset, tag, mean, sd, bins`` of each feature."""
+    return (
+        _moments(frames)
+        .join(feature_lists(features), "asset")
+        .filter(F.col("_place") < F.size("tags"))
+        .select("asset", F.col("tags")[F.col("_place")].alias("tag"), "mean", "sd", "bins")
+    )
+
+
+def scales(frames: DataFrame, features: DataFrame) -> DataFrame:
     """One row per asset: tags, means and deviations as arrays in feature order."""
-    cell = F.struct("ordinal", "tag", "mean", "sd")
+    cell = F.struct("_place", "mean", "sd")
     return (
-        features.select("asset", "tag", "ordinal")
-        .join(mvad_moments(bins), ["asset", "tag"], "left")
+        _moments(frames)
         .groupBy("asset")
         .agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+        .join(feature_lists(features), "asset")
+        .withColumn("_cells", F.slice("_cells", F.lit(1), F.size("tags")))
         .select(
-            "asset",
-            F.col("_cells.tag").alias("tags"),
-            F.col("_cells.mean").alias("means"),
-            F.col("_cells.sd").alias("sds"),
+            "asset", "tags", F.col("_cells.mean").alias("means"), F.col("_cells.sd").alias("sds")
         )
     )
 
 
-def vectors(bins: DataFrame, scale: DataFrame) -> DataFrame:
+def vectors(frames: DataFrame, scale: DataFrame) -> DataFrame:
     """``asset, timestamp, z, missing``: one standardised vector per asset and bin."""
-    # map_from_entries cannot hold a null value, and a null reading is a missing one.
-    readings = F.map_from_entries(F.collect_list(F.struct("tag", "value")))
-    rows = (
-        bins.filter(F.col("value").isNotNull())
-        .groupBy("asset", "timestamp")
-        .agg(readings.alias("_readings"))
-        .join(scale.select("asset", "tags", "means", "sds"), "asset")
-    )
-    reading = F.col("_readings")
+    value = F.col("values")
 
-    def standard(f: Column) -> Column:
-        return F.coalesce(F.try_divide(reading[f["tags"]] - f["means"], f["sds"]), F.lit(0.0))
+    def standard(f: Column, at: Column) -> Column:
+        return F.coalesce(F.try_divide(value[at] - f["means"], f["sds"]), F.lit(0.0))
 
-    return rows.select(
+    own = F.slice("values", F.lit(1), F.size("tags"))
+    return frames.join(scale.select("asset", "tags", "means", "sds"), "asset").select(
         "asset",
         "timestamp",
-        F.transform(F.arrays_zip("tags", "means", "sds"), standard).alias("z"),
-        (F.size("tags") - F.size("_readings")).alias("missing"),
+        F.transform(F.arrays_zip("means", "sds"), standard).alias("z"),
+        F.size(F.filter(own, lambda v: v.isNull())).alias("missing"),
     )
 
 
@@ -214,16 +258,16 @@ def mvad_fit(
     """Model table, one row per asset, from the bins strictly before ``cutoff``.
 
     The training bins are read three times (moments, correlations, threshold), so they are held
-    as a table instead of scanning the telemetry again. The model is held as well: it is what
-    the scoring jobs start from.
+    as a table instead of scanning the telemetry again. The small tables per asset are held as
+    well: Catalyst then knows their size when it joins them to the bins.
     """
     if mode not in ("full", "diagonal"):
         raise ValueError("mode is 'full' or 'diagonal'")
     diagonal = mode == "diagonal"
     past = telemetry.filter(F.col("timestamp") < timing.literal(cutoff))
-    bins = hold(asset_bins(past, features, step), "mvad-bins")
-    scale = scales(bins, features)
-    vecs = vectors(bins, scale)
+    frames = hold(asset_frames(past, features, step), "mvad-frames")
+    scale = hold(scales(frames, features), "mvad-scales")
+    vecs = vectors(frames, scale)
     model = scale
     if not diagonal:
         model = model.join(correlations(vecs), "asset").withColumn(
@@ -246,7 +290,7 @@ def mvad_fit(
 def mvad_vectors(
     telemetry: DataFrame, features: DataFrame, model: DataFrame, step: str | int
 ) -> DataFrame:
-    return vectors(asset_bins(telemetry, features, step), model)
+    return vectors(asset_frames(telemetry, features, step), model)
 
 
 def _judged(vecs: DataFrame, model: DataFrame) -> DataFrame:
@@ -401,7 +445,9 @@ def pick_model(models: DataFrame, at: Moment) -> DataFrame:
 
 def new_anomalies(scored: DataFrame, stored: DataFrame) -> DataFrame:
     """Scored rows newer than the newest stored row of their asset."""
-    newest = stored.groupBy("asset").agg(F.max("timestamp").alias("_newest"))
+    newest = hold(
+        stored.groupBy("asset").agg(F.max("timestamp").alias("_newest")), "newest-anomalies"
+    )
     fresh = F.col("_newest").isNull() | (F.col("timestamp") > F.col("_newest"))
     return scored.join(newest, "asset", "left").filter(fresh).drop("_newest")
 

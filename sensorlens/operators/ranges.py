@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlens.functions import timing
+from sensorlens.session import hold
 
 Moment = datetime | str
 
@@ -78,6 +79,8 @@ def last_period(
 
     Without an anchor the period ends at the newest timestamp of the data, overall or per ``by``.
     The overall anchor is a scalar subquery and the given one a literal; both filter the scan.
+    The anchors per key are held as a small table, so that Catalyst knows their size and does not
+    shuffle the rows to meet them.
     """
     if period == timing.CUSTOM_PERIOD:
         if start is None or end is None:
@@ -92,7 +95,7 @@ def last_period(
             else df.agg(F.max("timestamp")).scalar()
         )
         return df.filter((ts >= newest - length) & (ts <= newest))
-    newest = df.groupBy(by).agg(F.max("timestamp").alias("_newest"))
+    newest = hold(df.groupBy(by).agg(F.max("timestamp").alias("_newest")), "newest")
     recent = F.col("timestamp") >= F.col("_newest") - length
     return df.join(newest, by).filter(recent).drop("_newest")
 

@@ -32,12 +32,9 @@ _SCORES = (
 )
 
 
-def _bins(t):
-    return mvad.asset_bins(t.readings, t.reading_features, STEP)
-
-
 def _past(t):
-    return _bins(t).filter(F.col("timestamp") < F.lit(SPLIT).cast("timestamp"))
+    past = t.readings.filter(F.col("timestamp") < F.lit(SPLIT).cast("timestamp"))
+    return session.hold(mvad.asset_frames(past, t.reading_features, STEP), "frames")
 
 
 @query(
@@ -48,7 +45,7 @@ def _past(t):
     ),
 )
 def _(t):
-    return rounded(mvad.mvad_moments(_past(t)), "mean", "sd")
+    return rounded(mvad.mvad_moments(_past(t), t.reading_features), "mean", "sd")
 
 
 @query(
@@ -64,7 +61,7 @@ def _(t):
     ),
 )
 def _(t):
-    past = session.hold(_past(t), "bins")
+    past = _past(t)
     scales = mvad.scales(past, t.reading_features)
     matrix = mvad.correlations(mvad.vectors(past, scales)).join(scales, "asset")
     return rounded(mvad.correlation_rows(matrix), "correlation")
@@ -147,9 +144,9 @@ def _(t):
     ),
 )
 def _(t):
-    bins = session.hold(mvad.asset_bins(t.telemetry, t.features, "1hour"), "bins")
-    scales = mvad.scales(bins, t.features)
-    vecs = session.hold(mvad.vectors(bins, scales), "vectors")
+    frames = session.hold(mvad.asset_frames(t.telemetry, t.features, "1hour"), "frames")
+    scales = session.hold(mvad.scales(frames, t.features), "scales")
+    vecs = session.hold(mvad.vectors(frames, scales), "vectors")
     moved = mvad.window_correlations(vecs.select("asset", "timestamp"), vecs, "1hour", 48)
     matrix = moved.withColumnRenamed("window_correlation", "correlation").join(scales, "asset")
     return rounded(mvad.correlation_rows(matrix, ["asset", "timestamp"]), "correlation")

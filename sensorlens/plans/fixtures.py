@@ -28,6 +28,9 @@ def _asset():
     return F.concat(F.lit("A0"), (F.col("user_id") % 3).cast("string"))
 
 
+_dimensions: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.prepare(spark)
@@ -36,6 +39,14 @@ class Tables:
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.dir}/{name}.parquet")
 
+    def _dimension(self, name: str, build) -> DataFrame:
+        """A dimension that a deployment reads from a file: written once per session, so that
+        plans see a table of known size, as they would there."""
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _dimensions:
+            _dimensions[key] = session.hold(build(), name)
+        return _dimensions[key]
+
     @cached_property
     def events(self) -> DataFrame:
         return self._read("events", _EVENTS).withColumn("asset", _asset())
@@ -49,16 +60,16 @@ class Tables:
     @cached_property
     def tags(self) -> DataFrame:
         kind = F.col("event_type")
-        return (
-            self.events.select("asset", "event_type")
-            .distinct()
-            .select(
+
+        def build() -> DataFrame:
+            return self.events.select("asset", "event_type").distinct().select(
                 F.concat("asset", F.lit("_"), F.upper(kind)).alias("tag"),
                 F.concat(kind, F.lit(" [unit]")).alias("metric"),
                 F.concat(kind, F.lit("-"), "asset").alias("component"),
                 "asset",
             )
-        )
+
+        return self._dimension("tags", build)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -195,18 +206,17 @@ class Tables:
     def reading_features(self) -> DataFrame:
         """Sensors per label, from one size per label rather than from the exploded readings."""
         asset = F.concat(F.lit("E"), F.col("label").cast("string"))
-        return (
-            self.embeddings.groupBy(asset.alias("asset"))
-            .agg(F.max(F.size("embedding")).alias("d"))
-            .select("asset", F.explode(F.sequence(F.lit(1), F.col("d"))).alias("ordinal"))
-            .select(
-                F.concat(
-                    "asset", F.lit("_"), F.lpad((F.col("ordinal") - 1).cast("string"), 2, "0")
-                ).alias("tag"),
-                "ordinal",
-                "asset",
+
+        def build() -> DataFrame:
+            sizes = self.embeddings.groupBy(asset.alias("asset")).agg(
+                F.max(F.size("embedding")).alias("d")
             )
-        )
+            place = F.lpad((F.col("ordinal") - 1).cast("string"), 2, "0")
+            return sizes.select(
+                "asset", F.explode(F.sequence(F.lit(1), F.col("d"))).alias("ordinal")
+            ).select(F.concat("asset", F.lit("_"), place).alias("tag"), "ordinal", "asset")
+
+        return self._dimension("reading-features", build)
 
 
 # The same views for the SQL side.
