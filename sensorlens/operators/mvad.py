@@ -452,6 +452,44 @@ def new_anomalies(scored: DataFrame, stored: DataFrame) -> DataFrame:
     return scored.join(newest, "asset", "left").filter(fresh).drop("_newest")
 
 
+def mvad_new_anomalies(
+    telemetry: DataFrame,
+    features: DataFrame,
+    model: DataFrame,
+    stored: DataFrame,
+    step: str | int,
+    window: int = SLIDING_WINDOW,
+) -> DataFrame:
+    """Scores of the bins that are newer than the stored ones, in the shape that is sent on:
+    ``is_anomaly, asset, timestamp, score, severity, interpretation``.
+
+    ``interpretation`` is the explanation as JSON text, null for a bin that is no anomaly. The
+    newest stored time bounds the scan; the trailing window before it is read as well.
+    """
+    newest = stored.groupBy("asset").agg(F.max("timestamp").alias("_newest"))
+    newest = hold(feature_lists(features).select("asset").join(newest, "asset", "left"), "newest")
+    # An asset without stored rows is scored from its beginning.
+    first = newest.agg(
+        F.when(F.count("_newest") == F.count("*"), F.min("_newest")).alias("first")
+    ).first()["first"]
+    if first is not None:
+        lookback = F.make_dt_interval(secs=F.lit(window * timing.duration(step) / timing.SECOND))
+        telemetry = telemetry.filter(F.col("timestamp") >= F.lit(first) - lookback)
+    vecs = hold(mvad_vectors(telemetry, features, model, step), "mvad-vectors")
+    known = newest.filter(F.col("_newest").isNotNull()).withColumnRenamed("_newest", "timestamp")
+    fresh = new_anomalies(mvad_score(vecs, model), known)
+    part = F.struct("tag", "contribution_score", "correlation_changes")
+    told = (
+        mvad_explain(vecs, model, step, window)
+        .groupBy("asset", "timestamp")
+        .agg(F.to_json(F.array_sort(F.collect_list(part))).alias("interpretation"))
+    )
+    return fresh.join(told, ["asset", "timestamp"], "left").select(
+        F.col("is_anomaly").cast("bigint").alias("is_anomaly"),
+        "asset", "timestamp", "score", "severity", "interpretation",
+    )
+
+
 def fit_report(
     telemetry: DataFrame,
     features: DataFrame,

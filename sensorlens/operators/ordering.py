@@ -17,7 +17,9 @@ from sensorlens.functions import timing
 
 
 def time_chunk(column: str, chunk: str | int) -> Column:
-    return F.floor(F.unix_micros(F.col(column)) / F.lit(timing.duration(chunk)))
+    """Number of the chunk; never null, so that joins on it add no filter of their own."""
+    number = F.floor(F.unix_micros(F.col(column)) / F.lit(timing.duration(chunk)))
+    return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
 def ordered_index(
@@ -76,8 +78,15 @@ def sustained_runs(
     """
     low = ~F.coalesce(F.col("severity") >= threshold, F.lit(False))
     us = F.unix_micros("timestamp")
-    chunked = df.select(key, "timestamp", "severity").withColumn("_chunk", time_chunk("timestamp", chunk))
+    # The rows are read by two branches, the chunk summaries and the final pick. Both see the same
+    # filters and columns, so their sort by (key, chunk) comes from one shuffle.
+    chunked = (
+        df.select(key, "timestamp", "severity")
+        .filter(F.col(key).isNotNull() & F.col("timestamp").isNotNull())
+        .withColumn("_chunk", time_chunk("timestamp", chunk))
+    )
     inside = Window.partitionBy(key, "_chunk").orderBy("timestamp", "severity")
+    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     silence = F.lit(False)
     if max_gap is not None:
         gap = us - F.unix_micros(F.lag("timestamp").over(inside))
@@ -85,7 +94,7 @@ def sustained_runs(
     marked = (
         chunked.withColumn("_low", low)
         .withColumn("_break", F.col("_low") | silence)
-        .withColumn("_part", F.sum(F.col("_break").cast("int")).over(inside))
+        .withColumn("_part", F.sum(F.col("_break").cast("int")).over(running))
     )
     # A part is the break (part 0: the chunk's begin) and the qualifying events after it.
     part = Window.partitionBy(key, "_chunk", "_part")

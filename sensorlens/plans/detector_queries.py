@@ -118,6 +118,14 @@ def _(t):
     return rounded(out, "score", "severity", "contribution_score")
 
 
+@query("mvad_new_anomalies")
+def _(t):
+    model = mvad.mvad_fit(t.telemetry, t.features, CUTOFF, "1hour", window=48)
+    stored = t.anomalies.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp"))
+    out = mvad.mvad_new_anomalies(t.telemetry, t.features, model, stored, "1hour", window=48)
+    return rounded(out.drop("interpretation"), "score", "severity")
+
+
 @query(
     "window_correlations",
     sql(

@@ -161,17 +161,18 @@ class Tables:
     @cached_property
     def models(self) -> DataFrame:
         days = F.array(*[F.lit(f"2024-01-{d} 00:00:00") for d in ("05", "15", "25")])
-        return (
-            self.events.select("asset").distinct()
-            .select("asset", F.posexplode(days).alias("at", "day"))
-            .select(
+        number = (F.col("at") + 1).cast("string")
+
+        def build() -> DataFrame:
+            trained = self.events.select("asset").distinct()
+            return trained.select("asset", F.posexplode(days).alias("at", "day")).select(
                 "asset",
-                F.concat(F.lit("models/"), "asset", F.lit("/"), (F.col("at") + 1).cast("string"))
-                .alias("model_uri"),
+                F.concat(F.lit("models/"), "asset", F.lit("/"), number).alias("model_uri"),
                 F.lit(280).alias("sliding_window"),
                 F.col("day").cast("timestamp").alias("effective_date"),
             )
-        )
+
+        return self._dimension("models", build)
 
     @cached_property
     def vehicles(self) -> DataFrame:

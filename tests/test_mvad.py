@@ -143,3 +143,42 @@ def test_new_anomalies(frame):
     stored = frame(ddl, [("A", "2024-01-01 00:02:00", 0.1)])
     got = sorted((r.asset, r.timestamp.minute) for r in mvad.new_anomalies(scored, stored).collect())
     assert got == [("A", 3), ("A", 4), ("B", 0)]
+
+
+def test_new_anomalies_are_the_fresh_part_of_a_full_scoring(data, fitted, frame):
+    import json
+
+    _, telemetry, features = data
+    vecs, model = fitted
+    stored = frame("asset string, timestamp timestamp, severity double",
+                   [("A", str(START + timedelta(minutes=95)), 0.1), ("B", str(START + timedelta(minutes=98)), 0.1)])
+    got = {(r.asset, r.timestamp): r for r in
+           mvad.mvad_new_anomalies(telemetry, features, model, stored, "1min", window=20).collect()}
+    want = {(r.asset, r.timestamp): r for r in mvad.mvad_score(vecs, model).collect()
+            if r.timestamp > START + timedelta(minutes=95 if r.asset == "A" else 98)}
+    told = {(r.asset, r.timestamp, r.tag): r for r in mvad.mvad_explain(vecs, model, "1min", 20).collect()}
+    assert got.keys() == want.keys() and len(got) == 24 + 21
+    for key, row in got.items():
+        assert row.score == pytest.approx(want[key].score) and bool(row.is_anomaly) == want[key].is_anomaly
+        parts = json.loads(row.interpretation) if row.interpretation else []
+        assert bool(parts) == want[key].is_anomaly
+        for part in parts:
+            full = told[(*key, part["tag"])]
+            assert part["contribution_score"] == pytest.approx(full.contribution_score)
+            assert part["correlation_changes"]["changed_values"] == pytest.approx(full.correlation_changes.changed_values)
+
+
+def test_wide_assets_use_several_slabs(frame, spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(str(START + timedelta(minutes=t)), f"W_{i:02}", float(v))
+            for t in range(6) for i, v in enumerate(rng.normal(size=11)) if (t, i) != (2, 5)]
+    rows += [(str(START), "N_00", 1.5)]
+    telemetry = frame("timestamp timestamp, tag string, value double", rows)
+    features = spark.createDataFrame(
+        [(f"W_{i:02}", i, "W") for i in range(11)] + [("N_00", 0, "N")], "tag string, ordinal int, asset string")
+    whole = sorted(map(str, mvad.asset_frames(telemetry, features, "1min").collect()))
+    monkeypatch.setattr(mvad, "_SLAB", 4)
+    assert sorted(map(str, mvad.asset_frames(telemetry, features, "1min").collect())) == whole
+    model = mvad.mvad_fit(telemetry, features, "2024-02-01", "1min", mode="diagonal")
+    got = {(r.asset, r.timestamp.minute): (len(r.z), r.missing) for r in mvad.mvad_vectors(telemetry, features, model, "1min").collect()}
+    assert got == {("N", 0): (1, 0), **{("W", t): (11, int(t == 2)) for t in range(6)}}
