@@ -148,20 +148,19 @@ def choose_step(span_us: int, label: str = AUTO_LABEL, max_bins: int = DEFAULT_M
     return BIN_LADDER["7days"]
 
 
-def choose_step_column(span_us: Column, wanted_us: Column, max_bins: int) -> Column:
-    """Column form of :func:`choose_step`: one CASE expression over the ladder."""
-    chosen = F.when(F.lit(False), F.lit(0).cast("bigint"))
-    for size in BIN_LADDER.values():
-        fits = F.ceil(span_us / F.lit(size)) <= F.lit(max_bins)
-        chosen = chosen.when((wanted_us <= F.lit(size)) & fits, F.lit(size).cast("bigint"))
-    return chosen.otherwise(F.lit(BIN_LADDER["7days"]).cast("bigint"))
-
-
-def step_label(step: Column) -> Column:
-    label = F.when(step == 0, F.lit(AUTO_LABEL))
-    for name, size in BIN_LADDER.items():
-        label = label.when(step == F.lit(size), F.lit(name))
-    return label
+def choose_step_column(span_us: str, wanted_us: int, max_bins: int) -> Column:
+    """Column form of :func:`choose_step` for the span in a column: one CASE over the ladder."""
+    fits = [
+        f"WHEN {size} >= {wanted_us} AND ceil({span_us} / {size}) <= {max_bins} THEN {size}L"
+        for size in BIN_LADDER.values()
+    ]
+    return F.expr(f"CASE {' '.join(fits)} ELSE {BIN_LADDER['7days']}L END")
+
+
+def step_label(step_us: str) -> Column:
+    """Label of the bin size in a column."""
+    labels = [f"WHEN {size} THEN '{name}'" for name, size in BIN_LADDER.items()]
+    return F.expr(f"CASE {step_us} WHEN 0 THEN '{AUTO_LABEL}' {' '.join(labels)} END")
 
 
 def period_label(start: Column, end: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from sensorlens.functions import timing
-from sensorlens.functions.aggregates import numeric_agg
+from sensorlens.functions.aggregates import AGGREGATIONS
 from sensorlens.operators.assets import model_asof
 from sensorlens.operators.ranges import Moment, in_range, split_counts
 from sensorlens.session import hold
@@ -60,8 +60,11 @@ def asset_frames(
         "asset", F.posexplode("tags").alias("_place", "tag")
     )
     width = (places.agg(F.max("_place")).first()[0] or 0) + 1
+    if agg not in AGGREGATIONS:
+        raise ValueError(f"aggregation {agg!r} is not one of {sorted(AGGREGATIONS)}")
+    call = "count(DISTINCT {})" if agg == "count_distinct" else agg + "({})"
     slots = [
-        numeric_agg(agg, F.when(F.col("_slot") == i, F.col("value"))).alias(f"_v{i}")
+        F.expr(f"double({call.format(f'CASE WHEN _slot = {i} THEN value END')}) AS _v{i}")
         for i in range(min(width, _SLAB))
     ]
     rows = telemetry.join(places, "tag").select(
@@ -248,32 +251,27 @@ def _with_score(vecs: DataFrame, model: DataFrame, diagonal: bool) -> DataFrame:
 
 
 def mvad_fit(
-    telemetry: DataFrame,
+    frames: DataFrame,
     features: DataFrame,
     cutoff: Moment,
-    step: str | int,
     window: int = SLIDING_WINDOW,
     mode: str = "full",
 ) -> DataFrame:
-    """Model table, one row per asset, from the bins strictly before ``cutoff``.
+    """Model table, one row per asset, from the frame rows strictly before ``cutoff``.
 
-    The training bins are read three times (moments, correlations, threshold), so they are held
-    as a table instead of scanning the telemetry again. The small tables per asset are held as
-    well: Catalyst then knows their size when it joins them to the bins.
+    The frames of :func:`asset_frames` are read for moments, correlations and threshold, and
+    usually once more for scoring: pass a held table, and the telemetry is scanned once. The
+    small tables per asset are held here, so that Catalyst knows their size when it joins them.
     """
     if mode not in ("full", "diagonal"):
         raise ValueError("mode is 'full' or 'diagonal'")
     diagonal = mode == "diagonal"
-    past = telemetry.filter(F.col("timestamp") < timing.literal(cutoff))
-    frames = hold(asset_frames(past, features, step), "mvad-frames")
-    scale = hold(scales(frames, features), "mvad-scales")
-    vecs = vectors(frames, scale)
-    model = scale
+    past = frames.filter(F.col("timestamp") < timing.literal(cutoff))
+    model = hold(scales(past, features), "mvad-scales")
+    vecs = vectors(past, model)
     if not diagonal:
-        model = model.join(correlations(vecs), "asset").withColumn(
-            "precision", _precision("correlation")
-        )
-    model = hold(model, "mvad-matrices")
+        matrices = correlations(vecs).withColumn("precision", _precision("correlation"))
+        model = hold(model.join(matrices, "asset"), "mvad-matrices")
     needed = ["asset"] if diagonal else ["asset", "precision"]
     limits = (
         _with_score(vecs, model.select(*needed), diagonal)
@@ -287,12 +285,6 @@ def mvad_fit(
     return hold(fitted, "mvad-model")
 
 
-def mvad_vectors(
-    telemetry: DataFrame, features: DataFrame, model: DataFrame, step: str | int
-) -> DataFrame:
-    return vectors(asset_frames(telemetry, features, step), model)
-
-
 def _judged(vecs: DataFrame, model: DataFrame) -> DataFrame:
     diagonal = "precision" not in model.columns
     needed = ["asset", "tags", "threshold", *([] if diagonal else ["precision", "correlation"])]
@@ -475,7 +467,7 @@ def mvad_new_anomalies(
     if first is not None:
         lookback = F.make_dt_interval(secs=F.lit(window * timing.duration(step) / timing.SECOND))
         telemetry = telemetry.filter(F.col("timestamp") >= F.lit(first) - lookback)
-    vecs = hold(mvad_vectors(telemetry, features, model, step), "mvad-vectors")
+    vecs = hold(vectors(asset_frames(telemetry, features, step), model), "mvad-vectors")
     known = newest.filter(F.col("_newest").isNotNull()).withColumnRenamed("_newest", "timestamp")
     fresh = new_anomalies(mvad_score(vecs, model), known)
     part = F.struct("tag", "contribution_score", "correlation_changes")

@@ -107,14 +107,14 @@ def adaptive_bin(
     max_bins: int = timing.DEFAULT_MAX_BINS,
 ) -> DataFrame:
     """Bin size per key from the time its rows span."""
-    wanted = F.lit(timing.duration(label)).cast("bigint")
+    wanted = timing.duration(label)
     span = F.unix_micros(F.max("timestamp")) - F.unix_micros(F.min("timestamp"))
     return (
         df.groupBy(by)
         .agg(span.alias("span_us"))
         .withColumn("requested", F.lit(label))
-        .withColumn("step_us", timing.choose_step_column(F.col("span_us"), wanted, max_bins))
-        .withColumn("effective", timing.step_label(F.col("step_us")))
+        .withColumn("step_us", timing.choose_step_column("span_us", wanted, max_bins))
+        .withColumn("effective", timing.step_label("step_us"))
     )
 
 

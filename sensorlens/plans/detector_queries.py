@@ -68,8 +68,9 @@ def _(t):
 
 
 def _diagonal(t):
-    model = mvad.mvad_fit(t.readings, t.reading_features, SPLIT, STEP, mode="diagonal")
-    return mvad.mvad_vectors(t.readings, t.reading_features, model, STEP), model
+    frames = session.hold(mvad.asset_frames(t.readings, t.reading_features, STEP), "frames")
+    model = mvad.mvad_fit(frames, t.reading_features, SPLIT, mode="diagonal")
+    return mvad.vectors(frames, model), model
 
 
 @query(
@@ -101,9 +102,9 @@ def _(t):
 
 
 def _full(t):
-    model = mvad.mvad_fit(t.telemetry, t.features, CUTOFF, "1hour", window=48)
-    vecs = mvad.mvad_vectors(t.telemetry, t.features, model, "1hour")
-    return session.hold(vecs, "vectors"), model
+    frames = session.hold(mvad.asset_frames(t.telemetry, t.features, "1hour"), "frames")
+    model = mvad.mvad_fit(frames, t.features, CUTOFF, window=48)
+    return mvad.vectors(frames, model), model
 
 
 @query("mvad_score")
@@ -120,7 +121,7 @@ def _(t):
 
 @query("mvad_new_anomalies")
 def _(t):
-    model = mvad.mvad_fit(t.telemetry, t.features, CUTOFF, "1hour", window=48)
+    _, model = _full(t)
     stored = t.anomalies.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp"))
     out = mvad.mvad_new_anomalies(t.telemetry, t.features, model, stored, "1hour", window=48)
     return rounded(out.drop("interpretation"), "score", "severity")

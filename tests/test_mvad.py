@@ -48,9 +48,9 @@ def expected(x, extra):
 @pytest.fixture(scope="module")
 def fitted(data):
     _, telemetry, features = data
-    model = mvad.mvad_fit(telemetry, features, START + timedelta(minutes=TRAIN), "1min", window=20)
-    vecs = session.hold(mvad.mvad_vectors(telemetry, features, model, "1min"), "vectors")
-    return vecs, model
+    frames = session.hold(mvad.asset_frames(telemetry, features, "1min"), "frames")
+    model = mvad.mvad_fit(frames, features, START + timedelta(minutes=TRAIN), window=20)
+    return mvad.vectors(frames, model), model
 
 
 def test_scores_against_numpy(data, fitted):
@@ -97,9 +97,10 @@ def test_constant_sensor_has_no_say(frame, spark):
     rows = [(str(START + timedelta(minutes=t)), tag, v) for t in range(10) for tag, v in (("A_0", 1.0), ("A_1", t % 3 + 0.0))]
     telemetry = frame("timestamp timestamp, tag string, value double", rows)
     features = spark.createDataFrame([("A_0", 1, "A"), ("A_1", 2, "A")], "tag string, ordinal int, asset string")
-    model = mvad.mvad_fit(telemetry, features, "2024-02-01", "1min")
+    frames = mvad.asset_frames(telemetry, features, "1min")
+    model = mvad.mvad_fit(frames, features, "2024-02-01")
     assert model.first().correlation == [1.0, 0.0, 0.0, 1.0]
-    vecs = mvad.mvad_vectors(telemetry, features, model, "1min")
+    vecs = mvad.vectors(frames, model)
     assert all(r.z[0] == 0.0 for r in vecs.collect())
 
 
@@ -179,6 +180,7 @@ def test_wide_assets_use_several_slabs(frame, spark, monkeypatch):
     whole = sorted(map(str, mvad.asset_frames(telemetry, features, "1min").collect()))
     monkeypatch.setattr(mvad, "_SLAB", 4)
     assert sorted(map(str, mvad.asset_frames(telemetry, features, "1min").collect())) == whole
-    model = mvad.mvad_fit(telemetry, features, "2024-02-01", "1min", mode="diagonal")
-    got = {(r.asset, r.timestamp.minute): (len(r.z), r.missing) for r in mvad.mvad_vectors(telemetry, features, model, "1min").collect()}
+    frames = mvad.asset_frames(telemetry, features, "1min")
+    model = mvad.mvad_fit(frames, features, "2024-02-01", mode="diagonal")
+    got = {(r.asset, r.timestamp.minute): (len(r.z), r.missing) for r in mvad.vectors(frames, model).collect()}
     assert got == {("N", 0): (1, 0), **{("W", t): (11, int(t == 2)) for t in range(6)}}
