@@ -23,7 +23,7 @@ _TAGS_SQL = "('A00_CLICK', 'A00_VIEW', 'A01_ERROR')"
     ),
 )
 def _(t):
-    return rounded(series.telemetry_trend(t.telemetry, START, END), "value")
+    return rounded(series.telemetry_trend(t.telemetry), "value")
 
 
 @query(
@@ -312,12 +312,15 @@ def _(t):
 # -- series -------------------------------------------------------------------------------------
 
 
-def _grid(value: str, step: str = "1 HOUR", default: str = "NULL") -> str:
+_IN_RANGE = f"WHERE timestamp BETWEEN '{START}' AND '{END}'"
+
+
+def _grid(value: str, step: str = "1 HOUR", default: str = "NULL", where: str = "") -> str:
     """Views ``cells``, ``grid`` and ``g(tag, ts, v, idx)`` of an open series."""
     return f"""
         cells AS (
             SELECT tag, time_bucket(INTERVAL {step}, timestamp) AS ts,
-                CAST({value} AS DOUBLE) AS v FROM telemetry GROUP BY ALL),
+                CAST({value} AS DOUBLE) AS v FROM telemetry {where} GROUP BY ALL),
         grid AS (
             SELECT tag, unnest(generate_series(min(ts), max(ts), INTERVAL {step})) AS ts
             FROM cells GROUP BY tag),
@@ -504,12 +507,12 @@ def _points(seasonality: str):
     return build
 
 
-# Dollar-free text of the flagship: hourly bins are what 30 days and 1000 bins give.
-_POINTS_SQL = f"""{_grid('avg(value)')}, {_FILL}, {_flags(None)},
+# Hourly bins are what 30 days and at most 1000 bins give.
+_POINTS_SQL = f"""{_grid('avg(value)', where=_IN_RANGE)}, {_FILL}, {_flags(None)},
         mv AS (
             SELECT tag, time_bucket(INTERVAL 1 HOUR, timestamp) AS ts, max(severity) AS m
-            FROM explanations
-            WHERE is_anomaly AND severity >= 0.05 AND contribution_score >= 0.05 GROUP BY ALL),
+            FROM explanations {_IN_RANGE}
+                AND is_anomaly AND severity >= 0.05 AND contribution_score >= 0.05 GROUP BY ALL),
         points AS (
             SELECT tag, ts AS timestamp, v AS value,
                 CASE WHEN flag <> 0 OR coalesce(m, 0) <> 0 THEN v END AS anomaly,
@@ -568,6 +571,70 @@ for _split, _legend in series.CHART_LAYOUTS:
     _rollup(_split, _legend)
 
 
+_MV_SQL = (
+    "mv AS (SELECT tag, time_bucket(INTERVAL 1 HOUR, timestamp) AS ts, max(severity) AS m "
+    "FROM explanations WHERE is_anomaly AND severity >= 0.05 AND contribution_score >= 0.05 "
+    "GROUP BY ALL)"
+)
+
+
+@query(
+    "series_with_mv_anomalies",
+    sql(
+        "telemetry explanations",
+        f"WITH {_grid('max(value)')}, {_MV_SQL} SELECT tag, ts AS timestamp, v AS value, "
+        "m AS mvad_anomaly FROM g LEFT JOIN mv USING (tag, ts)",
+    ),
+)
+def _(t):
+    points = series.make_series(t.telemetry, "max", "1hour").drop("idx")
+    return series.attach_mv_anomalies(points, series.mv_severity_by_bin(t.explanations, "1hour"))
+
+
+@query(
+    "series_with_tag_columns",
+    sql(
+        "telemetry tags",
+        f"WITH {_grid('min(value)')} SELECT tag, ts AS timestamp, v AS value, metric, component "
+        "FROM g LEFT JOIN tags USING (tag)",
+    ),
+)
+def _(t):
+    points = series.make_series(t.telemetry, "min", "1hour").drop("idx")
+    return series.attach_tag_columns(points, t.tags)
+
+
+@query(
+    "point_markers",
+    sql(
+        "telemetry",
+        """
+        WITH p AS (
+            SELECT tag, timestamp, value - 20 AS value, CAST(sign(value - 20) AS INTEGER) AS flag,
+                CASE WHEN value > 40 THEN value / 100 END AS mv FROM telemetry)
+        SELECT tag, timestamp,
+            concat(CASE WHEN flag <> 0 THEN ' ● Individual' ELSE '' END,
+                CASE WHEN mv > 0 THEN ' ● Multivariate' ELSE '' END) AS anomaly_indicator,
+            CASE WHEN flag <> 0 THEN 'FireBrick' WHEN mv > 0 THEN 'Orange' ELSE '' END AS color,
+            CASE WHEN flag <> 0 AND value > 0 THEN 'FireBrick' WHEN mv > 0 THEN 'Orange' ELSE '' END
+                AS strict_color
+        FROM p
+        """,
+    ),
+)
+def _(t):
+    value = F.col("value") - 20
+    flag = F.signum(value).cast("int")
+    mv = F.when(F.col("value") > 40, F.col("value") / 100)
+    return t.telemetry.select(
+        "tag",
+        "timestamp",
+        text.anomaly_indicator(flag, mv).alias("anomaly_indicator"),
+        text.marker_color(flag, mv).alias("color"),
+        text.marker_color(flag, mv, value, strict_reference=True).alias("strict_color"),
+    )
+
+
 @query(
     "mv_severity_by_bin",
     sql(
