@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,13 +14,13 @@ from sensorlens.session import hold
 Moment = datetime | str
 
 
+def _moment(value: Moment) -> datetime:
+    return datetime.fromisoformat(value) if isinstance(value, str) else value
+
+
 def check_order(start: Moment | None, end: Moment | None) -> None:
-    if start is not None and end is not None:
-        first, last = (
-            datetime.fromisoformat(m) if isinstance(m, str) else m for m in (start, end)
-        )
-        if first > last:
-            raise ValueError(f"range starts ({first}) after it ends ({last})")
+    if start is not None and end is not None and _moment(start) > _moment(end):
+        raise ValueError(f"range starts ({start}) after it ends ({end})")
 
 
 def in_range(
@@ -100,6 +100,33 @@ def last_period(
     return df.join(newest, by).filter(recent).drop("_newest")
 
 
+def resolve_period(
+    period: str,
+    start: Moment | None = None,
+    end: Moment | None = None,
+    anchor: Moment | None = None,
+    df: DataFrame | None = None,
+) -> tuple[datetime, datetime]:
+    """Bounds of the custom range, or of the look-back period that ends at ``anchor``.
+
+    Without an anchor the period ends at the newest timestamp of ``df``. Known bounds let the
+    bin size be chosen before the plan is built, and let the range filter reach the scan.
+    """
+    if period == timing.CUSTOM_PERIOD:
+        if start is None or end is None:
+            raise ValueError("a custom period needs start and end")
+        check_order(start, end)
+        return _moment(start), _moment(end)
+    if anchor is None:
+        if df is None:
+            raise ValueError("a period without an anchor needs the data")
+        anchor = df.agg(F.max("timestamp")).first()[0]
+        if anchor is None:
+            raise ValueError("no data to anchor the period at")
+    last = _moment(anchor)
+    return last - timedelta(microseconds=timing.duration(period)), last
+
+
 def adaptive_bin(
     df: DataFrame,
     by: str,
@@ -124,10 +151,17 @@ def range_step(
 ) -> int:
     """Bin size for a given range: a plain number, known before the plan is built."""
     check_order(start, end)
-    first, last = (datetime.fromisoformat(m) if isinstance(m, str) else m for m in (start, end))
-    span = last - first
-    micros = (span.days * 86_400 + span.seconds) * timing.SECOND + span.microseconds
-    return timing.choose_step(micros, label, max_bins)
+    span = (_moment(end) - _moment(start)) // timedelta(microseconds=1)
+    return timing.choose_step(span, label, max_bins)
+
+
+def effective_bin(
+    start: Moment, end: Moment, label: str = timing.AUTO_LABEL,
+    max_bins: int = timing.DEFAULT_MAX_BINS,
+) -> str:
+    """Label of the bin size that a range gets; it may differ from the requested one."""
+    step = range_step(start, end, label, max_bins)
+    return next(name for name, size in timing.BIN_LADDER.items() if size == step)
 
 
 def grain_warning(steps: DataFrame) -> DataFrame:

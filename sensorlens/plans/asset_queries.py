@@ -380,13 +380,16 @@ def _(t):
     "interpretation_expand",
     sql(
         "explanations",
-        "SELECT asset, timestamp, tag, severity, contribution_score, changed_variables, "
-        "changed_values FROM explanations",
+        "SELECT asset, timestamp, tag, severity, contribution_score, "
+        "unnest(changed_variables) AS secondary_tag, unnest(changed_values) AS correlation_change "
+        "FROM explanations",
     ),
 )
 def _(t):
-    return reshape.expand_interpretation(t.interpreted).select(
-        "asset", "timestamp", "tag", "severity", "contribution_score", "correlation_changes.*"
+    rows = reshape.expand_interpretation(t.interpreted)
+    return reshape.expand_changes(rows).select(
+        "asset", "timestamp", "tag", "severity", "contribution_score", "secondary_tag",
+        "correlation_change",
     )
 
 
@@ -406,7 +409,7 @@ def _(t):
 
 @query(
     "array_expand",
-    "SELECT vec_id, unnest(range(len(embedding))) AS array_index, "
+    "SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS array_index, "
     "CAST(unnest(embedding) AS DOUBLE) AS array_value FROM embeddings",
 )
 def _(t):

@@ -38,7 +38,11 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Rounds columns whose last bits depend on the order of a floating-point sum."""
+    """Rounds columns whose last bits depend on the order of a floating-point sum.
+
+    Bin averages and interpolated points of readings in hundredths often end in an exact 5 at
+    the seventh decimal, where the two engines round differently; series compare 8 decimals.
+    """
     cells: list[Column] = [
         F.round(c, digits).alias(c) if c in columns else F.col(c) for c in df.columns
     ]

@@ -19,11 +19,11 @@ _TAGS_SQL = "('A00_CLICK', 'A00_VIEW', 'A01_ERROR')"
     sql(
         "telemetry",
         "SELECT tag, time_bucket(INTERVAL 10 SECOND, timestamp) AS timestamp, "
-        "round(avg(value), 6) AS value FROM telemetry GROUP BY ALL",
+        "round(avg(value), 8) AS value FROM telemetry GROUP BY ALL",
     ),
 )
 def _(t):
-    return rounded(series.telemetry_trend(t.telemetry), "value")
+    return rounded(series.telemetry_trend(t.telemetry), "value", digits=8)
 
 
 @query(
@@ -31,7 +31,7 @@ def _(t):
     sql(
         "telemetry",
         "SELECT tag, time_bucket(INTERVAL 10 SECOND, timestamp) AS timestamp, "
-        "round(avg(value), 6) AS value FROM telemetry "
+        "round(avg(value), 8) AS value FROM telemetry "
         "WHERE timestamp BETWEEN '2024-01-05 00:00:00' AND '2024-01-25 12:00:00' "
         f"AND tag IN {_TAGS_SQL} GROUP BY ALL",
     ),
@@ -40,7 +40,7 @@ def _(t):
     trend = series.telemetry_trend(
         t.telemetry, "2024-01-05 00:00:00", "2024-01-25 12:00:00", _TAGS
     )
-    return rounded(trend, "value")
+    return rounded(trend, "value", digits=8)
 
 
 @query(
@@ -359,11 +359,11 @@ def _series_of(agg: str) -> None:
         sql(
             "telemetry",
             f"WITH {_grid(_AGG_SQL[agg])} "
-            "SELECT tag, ts AS timestamp, idx, round(v, 6) AS value FROM g",
+            "SELECT tag, ts AS timestamp, idx, round(v, 8) AS value FROM g",
         ),
     )
     def _(t):
-        return rounded(series.make_series(t.telemetry, agg, "1hour"), "value")
+        return rounded(series.make_series(t.telemetry, agg, "1hour"), "value", digits=8)
 
 
 for _name in _AGG_SQL:
@@ -375,11 +375,11 @@ for _name in _AGG_SQL:
     sql(
         "telemetry",
         "SELECT tag, time_bucket(INTERVAL 7 DAY, timestamp) AS timestamp, "
-        "round(sum(value), 6) AS value FROM telemetry GROUP BY ALL",
+        "round(sum(value), 8) AS value FROM telemetry GROUP BY ALL",
     ),
 )
 def _(t):
-    return rounded(series.binned_aggregate(t.telemetry, "sum", "7days"), "value")
+    return rounded(series.binned_aggregate(t.telemetry, "sum", "7days"), "value", digits=8)
 
 
 @query(
@@ -388,13 +388,13 @@ def _(t):
         "telemetry",
         f"WITH {_grid('avg(value)', default='0.0')}, k AS (SELECT tag, "
         "time_bucket(INTERVAL 1 HOUR, timestamp) AS ts, count(*) AS c FROM telemetry GROUP BY ALL) "
-        "SELECT tag, ts AS timestamp, idx, round(v, 6) AS value, coalesce(c, 0) AS record_count "
+        "SELECT tag, ts AS timestamp, idx, round(v, 8) AS value, coalesce(c, 0) AS record_count "
         "FROM g LEFT JOIN k USING (tag, ts)",
     ),
 )
 def _(t):
     out = series.make_series(t.telemetry, "avg", "1hour", empty="zero", record_count=True)
-    return rounded(out, "value")
+    return rounded(out, "value", digits=8)
 
 
 @query(
@@ -402,11 +402,30 @@ def _(t):
     sql(
         "telemetry",
         f"WITH {_grid('avg(value)')}, {_FILL} "
-        "SELECT tag, ts AS timestamp, idx, round(v, 6) AS value FROM f",
+        "SELECT tag, ts AS timestamp, idx, round(v, 8) AS value FROM f",
     ),
 )
 def _(t):
-    return rounded(series.make_series(t.telemetry, "avg", "1hour", empty="linear"), "value")
+    return rounded(series.make_series(t.telemetry, "avg", "1hour", empty="linear"), "value", digits=8)
+
+
+_LAST_WEEK = "WHERE timestamp >= (SELECT max(timestamp) FROM telemetry) - INTERVAL 7 DAY"
+
+
+@query(
+    "series_of_last_period",
+    sql(
+        "telemetry",
+        f"WITH {_grid('avg(value)', '15 MINUTE', where=_LAST_WEEK)}, {_FILL} "
+        "SELECT tag, ts AS timestamp, idx, round(v, 8) AS value FROM f",
+    ),
+)
+def _(t):
+    # Seven days in at most 1000 bins make bins of 15 minutes.
+    start, end = ranges.resolve_period("7days", df=t.telemetry)
+    step = ranges.range_step(start, end)
+    rows = ranges.in_range(t.telemetry, start, end)
+    return rounded(series.make_series(rows, "avg", step, empty="linear"), "value", digits=8)
 
 
 _CLOSED = f"""
@@ -425,12 +444,12 @@ _CLOSED = f"""
     sql(
         "telemetry",
         f"WITH {_CLOSED}, {_FILL} "
-        "SELECT tag, ts AS timestamp, idx, round(v, 6) AS value FROM f",
+        "SELECT tag, ts AS timestamp, idx, round(v, 8) AS value FROM f",
     ),
 )
 def _(t):
     out = series.make_series(t.telemetry, "avg", "1hour", empty="linear", start=START, end=END)
-    return rounded(out, "value")
+    return rounded(out, "value", digits=8)
 
 
 def _flags(period: int | None) -> str:
@@ -460,7 +479,7 @@ def _flags(period: int | None) -> str:
 
 
 _FLAG_COLUMNS = (
-    "tag, ts AS timestamp, idx, round(v, 6) AS value, round(baseline, 6) AS baseline, "
+    "tag, ts AS timestamp, idx, round(v, 8) AS value, round(baseline, 6) AS baseline, "
     "round(score, 6) AS score, flag"
 )
 
@@ -476,7 +495,7 @@ _FLAG_COLUMNS = (
 def _(t):
     filled = series.make_series(t.telemetry, "avg", "3hour", empty="linear")
     out = series.decompose_anomalies(filled, seasonality="none")
-    return rounded(out, "value", "baseline", "score")
+    return rounded(rounded(out, "value", digits=8), "baseline", "score")
 
 
 @query(
@@ -489,7 +508,7 @@ def _(t):
 def _(t):
     filled = series.make_series(t.telemetry, "avg", "1hour", empty="linear")
     out = series.decompose_anomalies(filled, seasonality=24)
-    return rounded(out, "value", "baseline", "score")
+    return rounded(rounded(out, "value", digits=8), "baseline", "score")
 
 
 @query("series_flags_auto_season")
@@ -531,21 +550,21 @@ _POINTS_SQL = f"""{_grid('avg(value)', where=_IN_RANGE)}, {_FILL}, {_flags(None)
     "series_with_anomalies",
     sql(
         "telemetry tags explanations",
-        f"WITH {_POINTS_SQL} SELECT * REPLACE (round(value, 6) AS value, "
-        "round(anomaly, 6) AS anomaly, round(individual_anomaly, 6) AS individual_anomaly, "
-        "round(mvad_anomaly, 6) AS mvad_anomaly) FROM points",
+        f"WITH {_POINTS_SQL} SELECT * REPLACE (round(value, 8) AS value, "
+        "round(anomaly, 8) AS anomaly, round(individual_anomaly, 8) AS individual_anomaly, "
+        "round(mvad_anomaly, 8) AS mvad_anomaly) FROM points",
     ),
 )
 def _(t):
     return rounded(
-        _points("none")(t), "value", "anomaly", "individual_anomaly", "mvad_anomaly"
+        _points("none")(t), "value", "anomaly", "individual_anomaly", "mvad_anomaly", digits=8
     )
 
 
 @query("series_with_anomalies_auto_season")
 def _(t):
     return rounded(
-        _points("auto")(t), "value", "anomaly", "individual_anomaly", "mvad_anomaly"
+        _points("auto")(t), "value", "anomaly", "individual_anomaly", "mvad_anomaly", digits=8
     )
 
 
@@ -559,12 +578,12 @@ def _rollup(split_by: str, legend_by: str) -> None:
         sql(
             "telemetry tags explanations",
             f"WITH {_POINTS_SQL} SELECT timestamp, {', '.join(dims)}, "
-            "round(sum(value), 6) AS value, min(marker_color) AS marker_color "
+            "round(sum(value), 8) AS value, min(marker_color) AS marker_color "
             "FROM points GROUP BY ALL",
         ),
     )
     def _(t):
-        return rounded(series.series_rollup(_points("none")(t), split_by, legend_by), "value")
+        return rounded(series.series_rollup(_points("none")(t), split_by, legend_by), "value", digits=8)
 
 
 for _split, _legend in series.CHART_LAYOUTS:
@@ -652,13 +671,13 @@ def _(t):
     "series_round_trip",
     sql(
         "telemetry",
-        f"WITH {_grid('avg(value)')} SELECT tag, ts AS timestamp, round(v, 6) AS value FROM g",
+        f"WITH {_grid('avg(value)')} SELECT tag, ts AS timestamp, round(v, 8) AS value FROM g",
     ),
 )
 def _(t):
     # Arrays hold bins, so their length is bounded by the range and not by the readings.
     packed = series.rows_to_series(series.make_series(t.telemetry, "avg", "1hour"))
-    return rounded(series.series_to_rows(packed), "value")
+    return rounded(series.series_to_rows(packed), "value", digits=8)
 
 
 def _stats_sql(views: str, source: str) -> str:

@@ -38,7 +38,7 @@ def _anomaly_stream(t: Tables) -> DataFrame:
 
 @query(
     "anomaly_stream",
-    sql("anomalies", f"SELECT asset, timestamp, severity, 1 AS is_anomaly FROM ({_ANOMALOUS})"),
+    sql("anomalies", f"SELECT asset, timestamp, severity, CAST(1 AS BIGINT) AS is_anomaly FROM ({_ANOMALOUS})"),
 )
 def _(t):
     out = _drained(t, ingest.anomaly_rows(_anomaly_stream(t)), "anomaly-stream")
@@ -99,7 +99,7 @@ def _(t):
 
 @query(
     "dedup_stream",
-    sql("anomalies", f"SELECT asset, timestamp, severity, 1 AS is_anomaly FROM ({_ANOMALOUS})"),
+    sql("anomalies", f"SELECT asset, timestamp, severity, CAST(1 AS BIGINT) AS is_anomaly FROM ({_ANOMALOUS})"),
 )
 def _(t):
     rows = ingest.anomaly_rows(_anomaly_stream(t))

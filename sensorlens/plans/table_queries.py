@@ -105,7 +105,7 @@ def _(t):
         """
         WITH n AS (SELECT asset, (row_number() OVER (PARTITION BY asset ORDER BY timestamp, score)
             - 1) // 10 AS message FROM anomalies)
-        SELECT asset, message, count(*) AS rows FROM n GROUP BY ALL
+        SELECT asset, message, CAST(count(*) AS INTEGER) AS rows FROM n GROUP BY ALL
         """,
     ),
 )

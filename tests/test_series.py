@@ -69,6 +69,27 @@ def test_reversed_range_is_refused(frame):
         agg_by_name("median", F.col("value"))
 
 
+def test_periods_resolve(frame):
+    df = frame(TEL, [("2024-01-01 00:00:00", "a", 1.0), ("2024-01-05 06:00:00", "b", 1.0)])
+    assert ranges.resolve_period("2days", df=df) == (datetime(2024, 1, 3, 6), datetime(2024, 1, 5, 6))
+    assert ranges.resolve_period("6hours", anchor="2024-01-01") == (datetime(2023, 12, 31, 18), datetime(2024, 1, 1))
+    assert ranges.resolve_period("*custom*", "2024-01-01", "2024-01-02") == (datetime(2024, 1, 1), datetime(2024, 1, 2))
+    for bad in ({}, {"df": df.filter("tag = 'none'")}):
+        with pytest.raises(ValueError):
+            ranges.resolve_period("1day", **bad)
+    with pytest.raises(ValueError):
+        ranges.resolve_period("*custom*", "2024-01-02", "2024-01-01")
+    assert ranges.effective_bin("2024-01-01", "2024-01-31") == "1hour"
+    assert ranges.effective_bin("2024-01-01", "2024-01-02", "1sec", 100) == "15min"
+
+
+def test_last_period_per_key(frame):
+    df = frame(TEL, [("2024-01-01 00:00:00", "a", 1.0), ("2024-01-02 00:00:00", "a", 2.0), ("2023-01-01 00:00:00", "b", 3.0)])
+    got = ranges.last_period(df, "1hour", by="tag").collect()
+    assert sorted((r.tag, r.value) for r in got) == [("a", 2.0), ("b", 3.0)]
+    assert [r.value for r in ranges.last_period(df, "1day").orderBy("value").collect()] == [1.0, 2.0]
+
+
 def test_range_ends_are_inclusive(frame):
     df = frame(TEL, [(f"2024-01-01 0{h}:00:00", "a", 1.0) for h in range(4)])
     assert ranges.in_range(df, "2024-01-01 01:00:00", "2024-01-01 02:00:00").count() == 2
