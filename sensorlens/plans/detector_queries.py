@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from sensorlens import session
+from sensorlens.functions import timing
 from sensorlens.operators import mvad
-from sensorlens.plans.fixtures import CUTOFF, sql
+from sensorlens.plans.fixtures import CUTOFF, START, sql
 from sensorlens.plans.registry import query, rounded
 
 STEP = "1min"
-# The readings' own split: minute 300 and later are scored only.
-SPLIT = "2024-01-01 05:00:00"
+# The readings' own split: the first three fifths of their time train the detector.
+_SPLIT = (
+    "(SELECT TIMESTAMP '2024-01-01' + to_minutes(max(vec_id) * 3 // 5) FROM embeddings)"
+)
 
 _BINS = "bins AS (SELECT asset, timestamp, tag, avg(value) AS v FROM readings GROUP BY ALL)"
 _MOMENTS = (
     f"{_BINS}, m AS (SELECT asset, tag, avg(v) AS mean, stddev_samp(v) AS sd, count(*) AS bins "
-    f"FROM bins WHERE timestamp < '{SPLIT}' GROUP BY ALL)"
+    f"FROM bins WHERE timestamp < {_SPLIT} GROUP BY ALL)"
 )
 _Z = (
     f"{_MOMENTS}, z AS (SELECT asset, tag, timestamp, coalesce(CASE WHEN sd > 0 "
@@ -25,15 +30,20 @@ _Z = (
 _SCORES = (
     f"{_Z}, t AS (SELECT asset, timestamp, sum(z * z) / count(*) AS score FROM z GROUP BY ALL), "
     "lim AS (SELECT asset, quantile_disc(score, 0.99) AS threshold FROM t "
-    f"WHERE timestamp < '{SPLIT}' GROUP BY asset), "
+    f"WHERE timestamp < {_SPLIT} GROUP BY asset), "
     "s AS (SELECT asset, timestamp, score, score > threshold AS is_anomaly, "
     "CASE WHEN score > threshold THEN 1 - threshold / score ELSE 0 END AS severity "
     "FROM t JOIN lim USING (asset))"
 )
 
 
+def _split(t) -> datetime:
+    newest = t.embeddings.agg(F.max("vec_id")).first()[0]
+    return datetime.fromisoformat(START) + timedelta(minutes=newest * 3 // 5)
+
+
 def _past(t):
-    past = t.readings.filter(F.col("timestamp") < F.lit(SPLIT).cast("timestamp"))
+    past = t.readings.filter(F.col("timestamp") < timing.literal(_split(t)))
     return session.hold(mvad.asset_frames(past, t.reading_features, STEP), "frames")
 
 
@@ -56,7 +66,7 @@ def _(t):
         WITH {_BINS}
         SELECT a.asset AS asset, a.tag AS tag, b.tag AS tag1, round(corr(a.v, b.v), 6) AS correlation
         FROM bins a JOIN bins b USING (asset, timestamp)
-        WHERE a.tag <= b.tag AND timestamp < '{SPLIT}' GROUP BY ALL
+        WHERE a.tag <= b.tag AND timestamp < {_SPLIT} GROUP BY ALL
         """,
     ),
 )
@@ -69,7 +79,7 @@ def _(t):
 
 def _diagonal(t):
     frames = session.hold(mvad.asset_frames(t.readings, t.reading_features, STEP), "frames")
-    model = mvad.mvad_fit(frames, t.reading_features, SPLIT, mode="diagonal")
+    model = mvad.mvad_fit(frames, t.reading_features, _split(t), mode="diagonal")
     return mvad.vectors(frames, model), model
 
 

@@ -25,23 +25,21 @@ def _(t):
     late = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
     files.append_telemetry(t.telemetry.filter(~late), path)
     files.append_telemetry(t.telemetry.filter(late), path)
-    return files.read_telemetry(t.spark, path).select("timestamp", "tag", "value")
+    return files.read_telemetry(t.spark, path)
 
 
 @query(
-    "telemetry_table_by_date",
+    "telemetry_table_range",
     sql(
         "telemetry",
         "SELECT timestamp, tag, value FROM telemetry "
-        "WHERE CAST(timestamp AS DATE) BETWEEN '2024-01-03' AND '2024-01-28'",
+        "WHERE timestamp BETWEEN '2024-01-03 06:00:00' AND '2024-01-28 18:00:00'",
     ),
 )
 def _(t):
     path = session.scratch_dir(t.spark, "telemetry")
     files.append_telemetry(t.telemetry, path)
-    stored = files.read_telemetry(t.spark, path)
-    days = F.col("date").between(F.lit("2024-01-03").cast("date"), F.lit("2024-01-28").cast("date"))
-    return stored.filter(days).select("timestamp", "tag", "value")
+    return files.read_telemetry(t.spark, path, "2024-01-03 06:00:00", "2024-01-28 18:00:00")
 
 
 def _routes(t):

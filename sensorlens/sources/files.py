@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlens.functions import timing
 from sensorlens.operators.ordering import ordered_index
+from sensorlens.operators.ranges import Moment, in_range
 from sensorlens.sources import schemas
 
 # Fixed value: anomalies per message.
@@ -20,10 +22,18 @@ def read_reference_csv(spark: SparkSession, path: str, schema: str) -> DataFrame
     return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
 
 
-def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    """Long-form readings from parquet. Below a table written by :func:`append_telemetry` a
-    filter on ``date`` prunes folders and one on ``timestamp`` row groups."""
-    return spark.read.parquet(path)
+def read_telemetry(
+    spark: SparkSession, path: str, start: Moment | None = None, end: Moment | None = None
+) -> DataFrame:
+    """Long-form readings from parquet. On a table written by :func:`append_telemetry` the bounds
+    also select the ``date`` folders, so files outside the range are never listed as input."""
+    table = spark.read.parquet(path)
+    if "date" in table.columns:
+        if start is not None:
+            table = table.filter(F.col("date") >= timing.literal(start).cast("date"))
+        if end is not None:
+            table = table.filter(F.col("date") <= timing.literal(end).cast("date"))
+    return in_range(table, start, end).select("timestamp", "tag", "value")
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -47,3 +47,29 @@ def test_scans_read_only_what_they_use(spark, small):
     t = Tables(spark, small)
     schema = re.search(r"ReadSchema: (\S+)", plan(t.telemetry.agg(F.sum("value")))).group(1)
     assert schema == "struct<value:double>"
+
+
+def test_stored_telemetry_is_pruned_by_folder_and_row_group(spark, small, folder):
+    from sensorlens.sources import files
+
+    t = Tables(spark, small)
+    files.append_telemetry(t.telemetry, f"{folder}/t")
+    df = files.read_telemetry(spark, f"{folder}/t", "2024-01-03 06:00:00", "2024-01-04 18:00:00")
+    text = plan(df)
+    assert re.search(r"PartitionFilters: \[.*date.*2024-01-03", text)
+    assert "timestamp" in re.search(r"PushedFilters: (.*?), ReadSchema", text).group(1)
+    dates = {f.split("date=")[1].split("/")[0] for f in df.inputFiles()}
+    assert {"2024-01-03", "2024-01-04"} <= dates
+    want = t.telemetry.filter("timestamp between '2024-01-03 06:00:00' and '2024-01-04 18:00:00'")
+    assert df.count() == want.count() > 0
+
+
+def test_two_appends_keep_every_row(spark, frame, folder):
+    from sensorlens.sources import files
+
+    rows = [(f"2024-01-0{d} {h:02}:00:00", "hot", 1.0) for d in (1, 2) for h in range(24)]
+    df = frame("timestamp timestamp, tag string, value double", rows)
+    files.append_telemetry(df, f"{folder}/t")
+    files.append_telemetry(df, f"{folder}/t")
+    assert files.read_telemetry(spark, f"{folder}/t").count() == 2 * len(rows)
+    assert files.read_telemetry(spark, f"{folder}/t", "2024-01-02").count() == 48

@@ -147,3 +147,17 @@ def test_windows_agree_with_bins(spark, step):
     df = spark.sql("select explode(sequence(timestamp'2023-12-25 00:00:07', timestamp'2024-01-20 00:00:00', interval 7 hours)) t")
     window = F.window("t", width, width, timing.window_offset(step)).start
     assert df.filter(window != timing.time_bin(F.col("t"), step)).count() == 0
+
+
+def test_ingest_keeps_readings_with_a_bad_time_apart(spark, folder):
+    from sensorlens.sources import files
+
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/1.json", "w") as out:
+        for at in ("2024-01-01T00:00:05", "yesterday"):
+            out.write(json.dumps({"metrics": [{"name": "t", "timestamp": at, "dataType": "Double", "value": 1.5}]}) + "\n")
+    stream = streams.read_telemetry_stream(spark, f"{folder}/in")
+    ingest.telemetry_ingest(stream, f"{folder}/t", f"{folder}/c").awaitTermination()
+    assert spark.read.parquet(f"{folder}/t").count() == 2
+    good = files.read_telemetry(spark, f"{folder}/t", "2023-01-01").collect()
+    assert [(r.timestamp, r.tag, r.value) for r in good] == [(datetime(2024, 1, 1, 0, 0, 5), "t", 1.5)]
