@@ -28,9 +28,6 @@ def _asset():
     return F.concat(F.lit("A0"), (F.col("user_id") % 3).cast("string"))
 
 
-_dimensions: dict[tuple[str, str, str], DataFrame] = {}
-
-
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = session.prepare(spark)
@@ -42,10 +39,7 @@ class Tables:
     def _dimension(self, name: str, build) -> DataFrame:
         """A dimension that a deployment reads from a file: written once per session, so that
         plans see a table of known size, as they would there."""
-        key = (self.spark.sparkContext.applicationId, self.dir, name)
-        if key not in _dimensions:
-            _dimensions[key] = session.hold(build(), name)
-        return _dimensions[key]
+        return session.hold_once(self.spark, f"{self.dir} {name}", build)
 
     @cached_property
     def events(self) -> DataFrame:

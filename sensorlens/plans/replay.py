@@ -38,7 +38,7 @@ def _slices(df: DataFrame):
 
 def _write(t: Tables, kind: str, rows: DataFrame, to_messages, closing: str | None) -> str:
     key = (t.spark.sparkContext.applicationId, t.dir, kind)
-    if key not in _written:
+    if key not in _written or not session.exists(t.spark, _written[key]):
         path = session.scratch_dir(t.spark, kind)
         for part in _slices(rows):
             to_messages(part).select("value").write.mode("append").text(path)

@@ -25,3 +25,21 @@ def test_workers_without_the_package(tmp_path):
         capture_output=True, text=True, timeout=300,
     )
     assert "DONE" in run.stdout, run.stderr[-3000:]
+
+
+def test_held_tables_are_made_again_when_gone(spark):
+    from sensorlens import session
+
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(3)
+
+    for _ in range(2):
+        assert session.hold_once(spark, "test table", build).count() == 3
+    assert len(made) == 1
+    known = (spark.sparkContext.applicationId, "test table")
+    session._once[known] = (session.scratch_dir(spark, "gone"), session._once[known][1])
+    assert session.hold_once(spark, "test table", build).count() == 3
+    assert len(made) == 2
