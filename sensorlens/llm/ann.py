@@ -2,8 +2,8 @@
 
 Each vector is taken relative to the nearest of some centres, normalised, padded, rotated at
 random and reduced to signs. From the packed signs and a few scalars of a code the inner product
-with a rotated query is estimated, with a bound on its error. A candidate is reranked on original
-vectors if its distance may, by its bound, be among the nearest.
+with a rotated query is estimated, with a bound on its error. The best by estimate are measured on original vectors,
+and with them every candidate whose distance may, by its bound, be as small.
 """
 
 from __future__ import annotations
@@ -26,12 +26,15 @@ BOUND = 3.0
 # Codes and queries that meet in one step.
 CODES = 8192
 QUERIES = 256
+QUERIES_AT_ONCE = 32
 
 _BLOCK = pa.schema(
     [("block", pa.int64()), ("ids", pa.binary()), ("code", pa.binary()), ("scalars", pa.binary()),
-     ("centre", pa.binary())]
+     ("centre", pa.binary()), ("vectors", pa.binary())]
 )
-_CANDIDATE = pa.schema([("query_id", pa.int64()), ("rep", pa.int64()), ("least", pa.float64()), ("most", pa.float64())])
+_FOUND = pa.schema([("query_id", pa.int64()), ("rep", pa.int64()), ("distance", pa.float64())])
+# Distances that differ by less may be equal: numpy adds in another order than the score does.
+_ROUNDING = 1e-9
 
 
 @dataclass
@@ -71,17 +74,16 @@ class Rotation:
         shift = (code * (self.centres @ self.matrix)[near]).sum(axis=1)
         return np.packbits(signs, axis=1), np.column_stack((norm, along, shift)), near
 
-    def bounds(self, queries: np.ndarray, code: np.ndarray, scalars: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest squared distances of queries (rows) to codes (columns)."""
+    def estimate(self, queries: np.ndarray, code: np.ndarray, scalars: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances of queries (rows) to codes (columns), and how far off they may be."""
         norm, along, shift = scalars.T
         signs = np.unpackbits(code, axis=1, count=self.bits).astype(np.float32) * 2 - 1
         inner = (queries @ self.matrix).astype(np.float32) @ signs.T / np.sqrt(self.bits)
         away = np.linalg.norm(queries[:, None, :] - self.centres[None], axis=2)[:, near]
         inner = (inner - shift) / along  # the inner product of query and unit vector, both from the centre
         slack = BOUND * np.sqrt(np.maximum(0.0, 1 - along**2) / along**2 / (self.bits - 1)) * away
-        middle = norm**2 + away**2 - 2 * norm * inner
-        slack = 2 * norm * slack + 1e-5 * (norm**2 + away**2)
-        return np.maximum(0.0, middle - slack), middle + slack
+        squares = norm**2 + away**2
+        return squares - 2 * norm * inner, 2 * norm * slack + 1e-5 * squares
 
 
 def nearest_centre(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -127,9 +129,10 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, vector: str = "
     shared = Shared(spark, rotation)  # CENTRES and the rotation: fixed by the dimension
 
     def encode(table: pa.Table) -> pa.Table:
-        code, scalars, near = shared.value.encode(_matrix(table.column("vector").combine_chunks()))
+        vectors = _matrix(table.column("vector").combine_chunks())
+        code, scalars, near = shared.value.encode(vectors)
         ids = table.column("rep").to_numpy()
-        cells = [ids.astype("<i8"), code, scalars.astype("<f8"), near.astype("<i4")]
+        cells = [ids.astype("<i8"), code, scalars.astype("<f8"), near.astype("<i4"), vectors.astype("<f8")]
         return pa.table(
             [table.column("block").slice(0, 1), *(pa.array([cell.tobytes()], pa.binary()) for cell in cells)],
             schema=_BLOCK,
@@ -138,7 +141,8 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, vector: str = "
     n = distinct.count()
     blocks = max(1, -(-n // CODES))
     codes = distinct.select(F.pmod(F.xxhash64("rep"), F.lit(blocks)).alias("block"), "rep", "vector")
-    codes = hold(codes.groupBy("block").applyInArrow(encode, "block long, ids binary, code binary, scalars binary, centre binary"), "codes")
+    shape = "block long, ids binary, code binary, scalars binary, centre binary, vectors binary"
+    codes = hold(codes.groupBy("block").applyInArrow(encode, shape), "codes")
 
     # Queries and codes meet block by block: each pair of blocks is one group.
     queries = hold(rows_.filter(is_query).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query_id"), "vector"), "queries")
@@ -157,43 +161,46 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, vector: str = "
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     codes = codes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
 
-    def estimate(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _candidates(left, right, shared.value, k)
+    def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _nearest(left, right, shared.value, k)
 
     pairs = asked.groupBy("block", "part").cogroup(codes.groupBy("block", "part"))
-    found = pairs.applyInArrow(estimate, "query_id long, rep long, least double, most double")
-    # The k-th smallest greatest distance of a query bounds its k-th nearest; one more, as it may be itself.
-    by_most = Window.partitionBy("query_id").orderBy("most")
-    found = hold(found, "candidates")
-    limit = found.withColumn("turn", F.row_number().over(by_most)).filter(F.col("turn") == k + 1)
-    limit = limit.select("query_id", F.col("most").alias("limit"))
-    found = found.join(limit, "query_id", "left").filter("limit is null or least <= limit").select("query_id", "rep")
+    found = pairs.applyInArrow(nearest, "query_id long, rep long, distance double")
+    # One more than k, as one may be the query itself.
+    by_distance = Window.partitionBy("query_id").orderBy("distance")
+    every = by_distance.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = found.withColumn("limit", F.nth_value("distance", k + 1).over(every))
+    found = found.filter(f"limit is null or distance <= limit * (1 + {_ROUNDING})").select("query_id", "rep")
     found = found.join(distinct, "rep").join(queries.withColumnRenamed("vector", "asked"), "query_id")
     square = F.expr("aggregate(zip_with(asked, vector, (a, b) -> (a - b) * (a - b)), 0d, (s, x) -> s + x)")
     scored = found.select("query_id", F.sqrt(square).alias("score"), F.explode("members").alias("vec_id"))
-    nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = scored.filter("vec_id != query_id").withColumn("rank", F.row_number().over(nearest))
+    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = scored.filter("vec_id != query_id").withColumn("rank", F.row_number().over(by_score))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _candidates(asked: pa.Table, codes: pa.Table, rotation: Rotation, k: int) -> pa.Table:
-    """Per query of a block the codes of a block that may be among its ``k`` nearest."""
+def _nearest(asked: pa.Table, codes: pa.Table, rotation: Rotation, k: int) -> pa.Table:
+    """The ``k + 1`` nearest codes of a block to each query of a block, and any as near as the last."""
     if not asked.num_rows or not codes.num_rows:
-        return _CANDIDATE.empty_table()
+        return _FOUND.empty_table()
     width = len(rotation.matrix)
     query_ids = np.frombuffer(asked.column("query_ids")[0].as_py(), "<i8")
-    vectors = np.frombuffer(asked.column("vectors")[0].as_py(), "<f8").reshape(-1, width)
+    queries = np.frombuffer(asked.column("vectors")[0].as_py(), "<f8").reshape(-1, width)
     ids = np.frombuffer(codes.column("ids")[0].as_py(), "<i8")
     code = np.frombuffer(codes.column("code")[0].as_py(), np.uint8).reshape(len(ids), -1)
     scalars = np.frombuffer(codes.column("scalars")[0].as_py(), "<f8").reshape(len(ids), -1)
     near = np.frombuffer(codes.column("centre")[0].as_py(), "<i4")
-    parts = []
-    for at in range(0, len(query_ids), 32):
-        least, most = rotation.bounds(vectors[at : at + 32], code, scalars, near)
-        if len(ids) > k + 1:
-            limit = np.partition(most, k, axis=1)[:, k : k + 1]
-        else:
-            limit = np.full((len(least), 1), np.inf)
-        q, c = np.nonzero(least <= limit)
-        parts.append((query_ids[at : at + 32][q], ids[c], least[q, c], most[q, c]))
-    return pa.table([pa.array(np.concatenate(column)) for column in zip(*parts)], schema=_CANDIDATE)
+    vectors = np.frombuffer(codes.column("vectors")[0].as_py(), "<f8").reshape(-1, width)
+    k, parts = min(k, len(ids) - 1), []
+    for at in range(0, len(query_ids), QUERIES_AT_ONCE):
+        middle, slack = rotation.estimate(queries[at : at + QUERIES_AT_ONCE], code, scalars, near)
+        best = np.argpartition(middle, k, axis=1)[:, : k + 1]
+        for q in range(len(middle)):
+            query = queries[at + q]
+            limit = np.square(vectors[best[q]] - query).sum(axis=1).max() * (1 + _ROUNDING)
+            maybe = np.flatnonzero(middle[q] - slack[q] <= limit)
+            exact = np.square(vectors[maybe] - query).sum(axis=1)
+            keep = exact <= np.partition(exact, k)[k] * (1 + _ROUNDING) if len(exact) > k else exact >= 0
+            n = int(keep.sum())
+            parts.append((np.full(n, query_ids[at + q]), ids[maybe[keep]], np.sqrt(exact[keep])))
+    return pa.table([pa.array(np.concatenate(column)) for column in zip(*parts)], schema=_FOUND)
