@@ -23,7 +23,8 @@ ORDER = 5
 # Labelled documents per language that the models are fitted on; a part of them calibrates.
 PER_LANGUAGE = 512
 CALIBRATE_EVERY = 8
-MEMO_WORDS = 400_000
+SLICES = 64
+MEMO_WORDS = 300_000
 TEXT_AT_ONCE = 4 << 20
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -205,9 +206,15 @@ def learn(docs: DataFrame, where: Column | None = None, per_language: int = PER_
     null text, ``lang`` or ``doc_id`` teach nothing. Without rows to learn from there is no model."""
     usable = docs if where is None else docs.filter(where)
     usable = usable.filter("lang is not null and doc_id is not null and text is not null")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("turn", F.row_number().over(by_hash))
-    chosen = chosen.filter(F.col("turn") <= per_language).select(
+    # First per language and slice, so that however many tasks there are, no more than
+    # SLICES * per_language rows of a language meet in one of them.
+    slice_ = F.pmod(F.xxhash64("doc_id", F.lit("slice")), F.lit(SLICES))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = usable.select("doc_id", "lang", slice_.alias("slice"))
+    for keys in (["lang", "slice"], ["lang"]):
+        turn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        chosen = chosen.withColumn("turn", turn).filter(F.col("turn") <= per_language)
+    chosen = chosen.select(
         F.col("doc_id"), "lang", (F.col("turn") % CALIBRATE_EVERY == 0).alias("check")
     )
     chosen = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
