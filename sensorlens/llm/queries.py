@@ -172,4 +172,4 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_simhash")
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_copies(table(spark, sf_dir, "documents"), words=4, distance=4)
+    return simhash.near_copies(table(spark, sf_dir, "documents"), simhash.Rule(words=4, numbers=1, first=4, distance=4))
