@@ -23,7 +23,7 @@ ORDER = 5
 # Labelled documents per language that the models are fitted on; a part of them calibrates.
 PER_LANGUAGE = 512
 CALIBRATE_EVERY = 8
-SLICES = 64
+SLICES = 16
 MEMO_WORDS = 300_000
 TEXT_AT_ONCE = 4 << 20
 
