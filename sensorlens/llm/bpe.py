@@ -21,8 +21,8 @@ from sensorlens.llm.tokens import SPACED, WHITE
 from sensorlens.llm.workers import memo, packed, rows
 
 # Characters of text whose new pieces are encoded together.
-TEXT_AT_ONCE = 8 << 20
-MEMO_PIECES = 500_000
+TEXT_AT_ONCE = 4 << 20
+MEMO_PIECES = 250_000
 _GONE, _EDGE, _NONE = b"", -1, 1 << 40
 
 
@@ -106,14 +106,14 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = sorted(
+        pairs = [
             (ranks[token[:k]] << 32 | ranks[token[k:]], rank)
             for token, rank in ranks.items()
             for k in range(1, len(token))
             if token[:k] in ranks and token[k:] in ranks
-        )
-        self.keys = np.array([key for key, _ in pairs], np.int64)
-        self.made = np.array([rank for _, rank in pairs], np.int64)
+        ]
+        table = np.array(pairs, np.int64)
+        self.keys, self.made = table[np.argsort(table[:, 0])].T.copy()
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ranks of neighbours, ``_NONE`` where they don't merge."""
@@ -216,12 +216,12 @@ class Corpus:
         self.words = regex.compile(pattern.replace("[^\\s", f"[^{WHITE}").replace("\\s", f"[{WHITE}]").replace("\\S", f"[^{WHITE}]"))
         self.ids: dict[str, bytes] = {}
 
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """Replays the merges over the words of pieces not met before. Frequent pieces come early,
         so once the memo is full it stays as it is, and the ids of further ones are only returned."""
         cut = {
             piece: [word.encode("utf-8", "surrogatepass") for word in self.words.findall(piece)]
-            for piece in pieces - self.ids.keys()
+            for piece in pieces if piece not in self.ids
         }
         words = list({word for parts in cut.values() for word in parts})
         ids = dict(zip(words, replay_all(words, self.merges)))
@@ -231,12 +231,14 @@ class Corpus:
         return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [SPACED.findall(text) for text in texts]
-        new = self.learn({piece for pieces in cut for piece in pieces})
-        ids = self.ids
-        if len(ids) >= MEMO_PIECES:
-            return [b"".join(ids[p] if p in ids else new[p] for p in pieces) for pieces in cut]
-        return [b"".join(map(ids.__getitem__, pieces)) for pieces in cut]
+        numbers: dict[str, int] = {}
+        cut = [
+            np.array([numbers.setdefault(p, len(numbers)) for p in SPACED.findall(text)], np.uint32)
+            for text in texts
+        ]
+        new = self.learn(numbers.keys())
+        ids = [self.ids[p] if p in self.ids else new[p] for p in numbers]
+        return [b"".join(map(ids.__getitem__, places.tolist())) for places in cut]
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
