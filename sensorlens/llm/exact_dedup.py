@@ -104,10 +104,11 @@ def verdicts(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
 def drop_copies(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """The rows that stay, in all their columns; of rows that repeat a ``doc_id`` and its text, one."""
     kept = hold(verdicts(docs, frequent).filter("kept").groupBy("doc_id", "digest").count(), "kept")
-    k, d = kept.select(F.col("doc_id").alias("_k"), F.col("digest").alias("_d"), "count"), digest()
-    places = docs.withColumn("_digest", d)
-    stay = places.join(k, F.col("doc_id").cast("long").eqNullSafe(F.col("_k")) & (F.col("_digest") == F.col("_d")))
-    if kept.filter("count > 1").isEmpty():
-        return stay.select(*docs.columns)
-    alone = stay.filter("count = 1").select(*docs.columns)
-    return alone.union(stay.filter("count > 1").dropDuplicates(["_k", "_d"]).select(*docs.columns))
+    kept = kept.select(F.col("doc_id").alias("k"), F.col("digest").alias("d"), F.col("count").alias("n"))
+    # The row as one struct, so that none of its columns can clash with these.
+    places = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), digest().alias("digest"))
+    stay = places.join(kept, F.col("id").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d")))
+    if kept.filter("n > 1").isEmpty():
+        return stay.select("row.*")
+    repeated = stay.filter("n > 1").dropDuplicates(["k", "d"])
+    return stay.filter("n = 1").select("row.*").union(repeated.select("row.*"))

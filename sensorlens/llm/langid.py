@@ -24,6 +24,8 @@ ORDER = 5
 PER_LANGUAGE = 512
 CALIBRATE_EVERY = 8
 SLICES = 16
+# A mean over n symbols may be off by some multiple of 1 / sqrt(n): short texts get that tolerance.
+SHORT = 4.0
 MEMO_WORDS = 300_000
 TEXT_AT_ONCE = 4 << 20
 
@@ -162,8 +164,8 @@ class Scorer:
         self.logs = np.zeros((0, len(self.model.models)))
         self.sizes = np.zeros(0, np.int64)
 
-    def entropies(self, texts: list[list[str]]) -> list[np.ndarray | None]:
-        """Cross-entropy per symbol under each language, None for a text without letters."""
+    def entropies(self, texts: list[list[str]]) -> list[tuple[list[float] | None, int]]:
+        """Cross-entropy per symbol under each language, None for a text without letters; symbols."""
         met = {word for words in texts for word in words}
         new = list(met - self.ids.keys())
         if len(self.ids) + len(new) > MEMO_WORDS:
@@ -176,7 +178,8 @@ class Scorer:
         out = []
         for words in texts:
             at = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
-            out.append(-self.logs[at].sum(axis=0) / self.sizes[at].sum() if has_letter(words) else None)
+            symbols = int(self.sizes[at].sum())
+            out.append(((-self.logs[at].sum(axis=0) / symbols).tolist() if has_letter(words) else None, symbols))
         return out
 
 
@@ -254,12 +257,12 @@ def _calibrate(model: Model, sample: DataFrame, alphabet: int) -> None:
 
 
 def entropies(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``text``'s cross-entropy per symbol under each language (null without letters),
-    and the further columns of ``docs``."""
+    """``doc_id``, the ``text``'s cross-entropy per symbol under each language (null without
+    letters), its ``symbols``, and the further columns of ``docs``."""
     shared = Shared(docs.sparkSession, Scorer(model))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     kinds = dict(docs.dtypes)
-    shape = ", ".join(["doc_id long", "entropies array<double>", *(f"`{c}` {kinds[c]}" for c in rest)])
+    shape = ", ".join(["doc_id long", "entropies array<double>", "symbols long", *(f"`{c}` {kinds[c]}" for c in rest)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value
@@ -267,9 +270,9 @@ def entropies(docs: DataFrame, model: Model) -> DataFrame:
             for begin, end in _spans(batch.column(1)):
                 part = batch.slice(begin, end - begin)
                 found = scorer.entropies([words_of(t) for t in part.column(1).to_pylist()])
-                found = pa.array([None if e is None else e.tolist() for e in found], pa.list_(pa.float64()))
+                cells = [pa.array([e for e, _ in found], pa.list_(pa.float64())), pa.array([n for _, n in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), found, *part.columns[2:]], ["doc_id", "entropies", *rest]
+                    [part.column(0), *cells, *part.columns[2:]], ["doc_id", "entropies", "symbols", *rest]
                 )
 
     table = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *rest)
@@ -308,7 +311,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         F.coalesce(F.get(names, F.col("best")), F.lit("und")).alias("lang_pred"),
         F.coalesce(share, F.lit(0.0)).alias("score"),
         F.col("h").alias("cross_entropy"),
-        F.coalesce(F.col("h") > F.get(limits, F.col("best")), F.lit(True)).alias("rejected"),
+        F.coalesce(
+            F.col("h") > F.get(limits, F.col("best")) + SHORT / F.sqrt("symbols"), F.lit(True)
+        ).alias("rejected"),
     )
 
 
