@@ -1,9 +1,12 @@
 """Language ID with interpolated Kneser-Ney character models, one per language.
 
-A word is a sequence of characters between a begin and an end mark. A model holds, per order, the
-sorted hashes of its n-grams with their interpolated log probabilities, and the sorted hashes of
-its contexts with the log weight of the lower order. The language with the lowest cross-entropy
-per symbol wins; a text whose cross-entropy is far from any of its language's own is rejected.
+A word is a sequence of characters between a begin and an end mark. N-grams are counted over all
+labelled texts, by words first and then by n-gram, so what is shuffled grows with the vocabulary.
+A model holds, per order, the sorted hashes of its n-grams with their interpolated log
+probabilities, and the sorted hashes of its contexts with the log weight of the lower order. Hashes
+have ``KEY_BITS`` bits, which bounds a model whatever the corpus. The language with the lowest
+cross-entropy per symbol wins; a text whose cross-entropy is far from any of its language's own is
+rejected.
 """
 
 from __future__ import annotations
@@ -14,16 +17,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlens.llm.workers import Shared, packed, rows
 
 ORDER = 5
-# Labelled documents per language that the models are fitted on; a part of them calibrates.
-PER_LANGUAGE = 512
+# Bits of an n-gram's hash: a language has at most ORDER * 2**KEY_BITS n-grams and as many contexts.
+KEY_BITS = 18
+# Labelled documents per language that calibrate, at most: every CALIBRATE_EVERY-th of those with
+# the least hash. The models learn from all others.
+CALIBRATORS = 64
 CALIBRATE_EVERY = 8
 SLICES = 16
+# Words that a task counts before it passes them on, and that are taken apart at once.
+WORDS_HELD = 1 << 18
+WORDS_AT_ONCE = 1 << 15
 # A mean over n symbols may be off by some multiple of 1 / sqrt(n): short texts get that tolerance.
 SHORT = 4.0
 MEMO_WORDS = 300_000
@@ -44,7 +54,7 @@ def has_letter(words: Iterable[str]) -> bool:
 
 
 class Symbols:
-    """Words laid out as symbols, and the hash of the n-gram that ends at each of them."""
+    """Words laid out as symbols, and the hash (``KEY_BITS`` bits) of the n-gram that ends at each."""
 
     def __init__(self, words: list[str]):
         self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
@@ -57,13 +67,14 @@ class Symbols:
         self.depth = np.arange(len(codes)) - np.repeat(starts, self.lengths)
         mixed = (codes + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(29)
-        self.mixed = mixed * np.uint64(0x94D049BB133111EB)
-        self.hashes = {0: np.zeros(len(codes), np.uint64)}
-        power = 1
+        mixed *= np.uint64(0x94D049BB133111EB)
+        whole, power = np.zeros(len(codes), np.uint64), 1
+        self.hashes = {0: whole}
         for n in range(1, ORDER + 1):
             back = np.zeros(len(codes), np.uint64)
-            back[n - 1 :] = self.mixed[: len(codes) - n + 1]
-            self.hashes[n] = self.hashes[n - 1] + back * np.uint64(power)
+            back[n - 1 :] = mixed[: len(codes) - n + 1]
+            whole = whole + back * np.uint64(power)
+            self.hashes[n] = whole >> np.uint64(64 - KEY_BITS)
             power = power * _STEP % (1 << 64)
 
     def grams(self, n: int) -> np.ndarray:
@@ -78,34 +89,61 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def gram_counts(counts: dict[str, int]) -> pa.Table:
+    """The n-grams of counted words: ``n``, ``key``, the keys of the n-gram without its first
+    (``suffix``) and without its last symbol (``context``), whether a symbol stands before it in
+    its word (``inner``), and how often it occurs (``seen``). Of n-grams that share a key, counts are
+    added up and the least keys of their parts stand."""
+    words = sorted(counts)
+    symbols = Symbols(words)
+    weight = np.array([counts[w] for w in words], np.int64)[symbols.word]
+    parts = []
+    for n in range(1, ORDER + 1):
+        at = symbols.grams(n)
+        keys, group = np.unique(symbols.hashes[n][at], return_inverse=True)
+        suffix, context = np.full((2, len(keys)), 1 << KEY_BITS, np.uint64)
+        np.minimum.at(suffix, group, symbols.hashes[n - 1][at])
+        if n > 1:
+            np.minimum.at(context, group, symbols.hashes[n - 1][at - 1])
+        else:
+            context[:] = 0
+        inner, seen = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        np.logical_or.at(inner, group, symbols.depth[at] >= n)
+        np.add.at(seen, group, weight[at])
+        cells = np.full(len(keys), n), keys, suffix, context, inner, seen
+        parts.append(pa.table([pa.array(cell.astype(kind)) for cell, kind in zip(cells, _KINDS)], _GRAM))
+    return pa.concat_tables(parts)
+
+
+_GRAM = ["n", "key", "suffix", "context", "inner", "seen"]
+_KINDS = [np.int32, np.int32, np.int32, np.int32, np.bool_, np.int64]
+
+
 class KneserNey:
-    """One language's model. ``alphabet`` is the number of symbols that a model may meet."""
+    """One language's model, of counted words or of a table as :func:`gram_counts` makes it.
+    ``alphabet`` is the number of symbols that a model may meet."""
 
-    def __init__(self, counts: dict[str, int], alphabet: int):
-        words = sorted(counts)
-        symbols = Symbols(words)
-        weight = np.array([counts[w] for w in words], np.float64)[symbols.word]
+    def __init__(self, counts: dict[str, int] | pa.Table, alphabet: int):
+        table = counts if isinstance(counts, pa.Table) else gram_counts(counts)
+        order, *cells = (table.column(name).to_numpy() for name in _GRAM)
         self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.contexts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        # Distinct n-grams: hash, where one of them ends, and how often it was seen.
         distinct = {}
         for n in range(1, ORDER + 1):
-            at = symbols.grams(n)
-            keys, first, inverse = np.unique(symbols.hashes[n][at], return_index=True, return_inverse=True)
-            distinct[n] = keys, at[first], np.bincount(inverse, weight[at], len(keys))
+            part = [cell[order == n] for cell in cells]
+            sort = np.argsort(part[0], kind="stable")
+            distinct[n] = [cell[sort].astype(kind) for cell, kind in zip(part, (np.uint64,) * 3 + (bool, float))]
         lower = np.full(0, 0.0)
         for n in range(1, ORDER + 1):
-            keys, ends, count = distinct[n]
+            keys, suffix, context, inner, count = distinct[n]
             if n < ORDER:
                 # The count of a lower order is the number of distinct symbols before the n-gram;
                 # at the begin of a word there are none, and the plain count stands.
-                longer = symbols.hashes[n][distinct[n + 1][1]]
-                at, _ = _find(keys, longer)
-                inner = symbols.depth[ends] >= n
-                count = np.where(inner, np.bincount(at, minlength=len(keys)), count)
+                at, _ = _find(keys, distinct[n + 1][1])
+                before = np.bincount(at, minlength=len(keys))
+                count = np.where(inner, np.maximum(1, before), count)
             once, twice = (count == 1).sum(), (count == 2).sum()
             discount = once / (once + 2 * twice) if once and twice else 0.5
-            context = symbols.hashes[n - 1][ends - 1] if n > 1 else np.zeros(len(keys), np.uint64)
             heads, group = np.unique(context, return_inverse=True)
             total = np.bincount(group, count, len(heads))
             kinds = np.bincount(group, minlength=len(heads))
@@ -113,7 +151,7 @@ class KneserNey:
             if n == 1:
                 below = np.full(len(keys), 1.0 / alphabet)
             else:
-                at, _ = _find(self.grams[n - 1][0], symbols.hashes[n - 1][ends])
+                at, _ = _find(self.grams[n - 1][0], suffix)
                 below = lower[at]
             lower = (count - discount) / total[group] + weight_of_lower[group] * below
             self.grams[n] = keys, np.log(lower).astype(np.float32)
@@ -183,53 +221,85 @@ class Scorer:
         return out
 
 
-def _word_counts(docs: DataFrame) -> dict[str, dict[str, int]]:
-    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """``lang``, ``word`` and ``seen``, over all documents; tasks count their own first."""
+    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("seen", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        counts: dict[str, Counter] = {}
-        for text, lang in rows(batches):
-            counts.setdefault(lang, Counter()).update(words_of(text))
-        yield from packed(
-            ((lang, word, n) for lang, found in counts.items() for word, n in found.items()), schema
-        )
+        def records():
+            counts, held = {}, 0
+            for text, lang in rows(batches):
+                found = counts.setdefault(lang, Counter())
+                held -= len(found)
+                found.update(words_of(text))
+                held += len(found)
+                if held >= WORDS_HELD:
+                    yield from ((lang, word, n) for lang, found in counts.items() for word, n in found.items())
+                    counts, held = {}, 0
+            yield from ((lang, word, n) for lang, found in counts.items() for word, n in found.items())
+
+        yield from packed(records(), schema)
+
+    found = docs.select(F.col("text").cast("string"), "lang").mapInArrow(run, "lang string, word string, seen long")
+    return found.groupBy("lang", "word").agg(F.sum("seen").alias("seen"))
 
-    found = docs.select("text", "lang").mapInArrow(run, "lang string, word string, n long")
-    counts: dict[str, dict[str, int]] = {}
-    for row in found.groupBy("lang", "word").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts.setdefault(row.lang, {})[row.word] = row.n
-    return counts
 
+def _gram_counts(words: DataFrame) -> DataFrame:
+    """``lang`` and the columns of :func:`gram_counts`, over all words that hold a letter."""
 
-def learn(docs: DataFrame, where: Column | None = None, per_language: int = PER_LANGUAGE) -> Model | None:
-    """Fits a model per value of ``lang`` on at most ``per_language`` documents of it, those with
-    the least hash of ``doc_id``; ``where`` limits the rows that may be learnt from. Rows with a
-    null text, ``lang`` or ``doc_id`` teach nothing. Without rows to learn from there is no model."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tables():
+            counts: dict[str, dict[str, int]] = {}
+            held = 0
+            for lang, word, seen in rows(batches):
+                if has_letter((word,)):
+                    counts.setdefault(lang, {})[word] = seen
+                    held += 1
+                if held >= WORDS_AT_ONCE:
+                    yield from counts.items()
+                    counts, held = {}, 0
+            yield from counts.items()
+
+        for lang, found in tables():
+            grams = gram_counts(found)
+            yield from grams.add_column(0, "lang", pa.array([lang] * len(grams), pa.string())).to_batches()
+
+    shape = "lang string, n int, key int, suffix int, context int, inner boolean, seen long"
+    return words.select("lang", "word", "seen").mapInArrow(run, shape).groupBy("lang", "n", "key").agg(
+        F.min("suffix").alias("suffix"), F.min("context").alias("context"), F.max("inner").alias("inner"),
+        F.sum("seen").alias("seen"),
+    )
+
+
+def learn(docs: DataFrame, where: Column | None = None, calibrators: int = CALIBRATORS) -> Model | None:
+    """Fits a model per value of ``lang`` on all its documents but those, at most ``calibrators``,
+    that calibrate it; ``where`` limits the rows that may be learnt from. Rows with a null text,
+    ``lang`` or ``doc_id`` teach nothing. Without rows to learn from there is no model. The driver
+    gets at most ``ORDER * 2**KEY_BITS`` n-grams of a language, whatever the input."""
     usable = docs if where is None else docs.filter(where)
     usable = usable.filter("lang is not null and doc_id is not null and text is not null")
-    # First per language and slice, so that however many tasks there are, no more than
-    # SLICES * per_language rows of a language meet in one of them.
+    # First per language and slice, so that however many tasks there are, few rows of a language
+    # meet in one of them.
     slice_ = F.pmod(F.xxhash64("doc_id", F.lit("slice")), F.lit(SLICES))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = usable.select("doc_id", "lang", slice_.alias("slice"))
     for keys in (["lang", "slice"], ["lang"]):
         turn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        chosen = chosen.withColumn("turn", turn).filter(F.col("turn") <= per_language)
-    chosen = chosen.select(
-        F.col("doc_id"), "lang", (F.col("turn") % CALIBRATE_EVERY == 0).alias("check")
-    )
-    chosen = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
-    # At most per_language rows for each language.
-    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
-    counts = _word_counts(sample.filter("not check"))
-    counts = {lang: found for lang, found in sorted(counts.items()) if has_letter(found)}
-    if not counts:
+        chosen = chosen.withColumn("turn", turn).filter(F.col("turn") <= calibrators * CALIBRATE_EVERY)
+    chosen = chosen.filter(F.col("turn") % CALIBRATE_EVERY == 0).select("doc_id", "lang")
+    # At most ``calibrators`` rows for each language.
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema))
+    usable = usable.select("doc_id", "lang", "text")
+    grams = _gram_counts(_word_counts(usable.join(chosen, ["doc_id", "lang"], "left_anti"))).toArrow()
+    languages = sorted(grams.column("lang").unique().to_pylist())
+    if not languages:
         return None
-    alphabet = len({c for found in counts.values() for word in found for c in word}) + 2
-    model = Model(list(counts), [KneserNey(found, alphabet) for found in counts.values()], 1.0, np.zeros(0))
-    _calibrate(model, sample.filter("check"), alphabet)
+    alphabet = len(grams.filter(pc.equal(grams["n"], 1)).column("key").unique()) + 1
+    models = [KneserNey(grams.filter(pc.equal(grams["lang"], lang)), alphabet) for lang in languages]
+    model = Model(languages, models, 1.0, np.zeros(0))
+    _calibrate(model, usable.join(chosen, ["doc_id", "lang"]), alphabet)
     return model
 
 
@@ -281,8 +351,6 @@ def entropies(docs: DataFrame, model: Model) -> DataFrame:
 
 def _spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Stretches of rows with some TEXT_AT_ONCE bytes of text."""
-    import pyarrow.compute as pc
-
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     cuts = np.flatnonzero(np.diff(sizes // TEXT_AT_ONCE)) + 1
     bounds = [0, *cuts.tolist(), len(texts)]
