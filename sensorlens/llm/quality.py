@@ -14,6 +14,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,9 @@ SAMPLE = 8192
 CALIBRATE_EVERY = 5
 HIDDEN = 32
 STEPS = 600
-# Rows of the table of word vectors that are added up together.
-BLOCK = 512
+# Rows of the table of word vectors that are added up together, and tasks whose sums meet at once.
+BLOCK = 256
+FAN_IN = 512
 TOKENS_AT_ONCE = 1 << 16
 MEMO_PIECES = 400_000
 
@@ -80,8 +82,10 @@ def buckets_of(text: str | None) -> np.ndarray:
 
 def context_vectors(docs: DataFrame) -> np.ndarray:
     """The sum, over all documents, of the index vectors around each bucket: a table whose size is
-    fixed by ``BUCKETS`` and ``DIMENSIONS``. Tasks add up their own documents first."""
-    schema = pa.schema([("block", pa.int32()), ("sums", pa.binary())])
+    fixed by ``BUCKETS`` and ``DIMENSIONS``. Tasks add up their own documents first; their sums,
+    whole numbers, are added up in two levels, ``FAN_IN`` tasks at a time, so that the group of a
+    block stays small with any number of tasks."""
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("sums", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = memo("quality index", _index)
@@ -106,19 +110,22 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
                 held, size = [], 0
         if held:
             add(np.concatenate(held))
-        table = sums.astype("<f4").reshape(-1, BLOCK * DIMENSIONS)
-        yield from packed(((k, block.tobytes()) for k, block in enumerate(table) if block.any()), schema)
+        table, part = sums.astype("<i8").reshape(-1, BLOCK * DIMENSIONS), TaskContext.get().partitionId()
+        yield from packed(((part // FAN_IN, k, block.tobytes()) for k, block in enumerate(table) if block.any()), schema)
 
     def total(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(part, "<f4").astype(np.float64) for part in table.column("sums").to_pylist()]
-        block = table.column("block").slice(0, 1)
-        return pa.table([block.cast(pa.int32()), pa.array([sum(parts).astype("<f4").tobytes()])], schema=schema)
-
-    blocks = docs.select(F.col("text").cast("string")).mapInArrow(run, "block int, sums binary")
-    blocks = blocks.groupBy("block").applyInArrow(total, "block int, sums binary")
+        sums = np.zeros(BLOCK * DIMENSIONS, "<i8")
+        for part in table.column("sums"):
+            sums += np.frombuffer(part.as_buffer(), "<i8")
+        return pa.table([*(table.column(name).slice(0, 1) for name in ("part", "block")), pa.array([sums.tobytes()])], schema=schema)
+
+    shape = "part int, block int, sums binary"
+    blocks = docs.select(F.col("text").cast("string")).mapInArrow(run, shape)
+    blocks = blocks.groupBy("part", "block").applyInArrow(total, shape)
+    blocks = blocks.groupBy("block").applyInArrow(total, shape)
     vectors = np.zeros((BUCKETS // BLOCK, BLOCK * DIMENSIONS), np.float32)
     for row in blocks.toLocalIterator():
-        vectors[row.block] = np.frombuffer(row.sums, "<f4")
+        vectors[row.block] = np.frombuffer(row.sums, "<i8")
     return vectors.reshape(BUCKETS, DIMENSIONS)
 
 

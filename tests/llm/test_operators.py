@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -220,6 +221,25 @@ def test_probabilities_add_up():
     assert model.score(langid.Symbols(["cab"]))[0] == pytest.approx(whole, abs=1e-5)
 
 
+def test_all_texts_are_counted(spark, docs, monkeypatch):
+    """N-grams over all documents of a language, in parts, are those of its words counted at once."""
+    monkeypatch.setattr(langid, "WORDS_HELD", 50)
+    monkeypatch.setattr(langid, "WORDS_AT_ONCE", 70)
+    got = langid._gram_counts(langid._word_counts(docs.filter("lang is not null"))).collect()
+    found = {}
+    for row in got:
+        found.setdefault(row.lang, set()).add(tuple(row)[1:])
+    words = {}
+    for row in docs.filter("lang is not null").collect():
+        words.setdefault(row.lang, []).extend(langid.words_of(row.text))
+    assert found.keys() == words.keys()
+    for lang, every in words.items():
+        counts = {word: n for word, n in Counter(every).items() if langid.has_letter([word])}
+        want = langid.gram_counts(counts).to_pydict()
+        rows = {(n, key): (inner, seen) for n, key, inner, seen in zip(*(want[c] for c in ("n", "key", "inner", "seen")))}
+        assert {(n, key): (inner, seen) for n, key, _, _, inner, seen in found[lang]} == rows
+
+
 # 6. Token files
 
 
@@ -292,6 +312,20 @@ def test_quality_of_odd_texts(spark, odd, empty):
     assert quality.score(empty, quality.learn(empty, labels)).count() == 0
 
 
+def test_contexts_add_up_over_all_documents(docs, monkeypatch):
+    """However many tasks there are, the table is that of all neighbours of all documents."""
+    monkeypatch.setattr(quality, "FAN_IN", 2)
+    got = quality.context_vectors(docs.repartition(7))
+    places, signs = quality._index()
+    want = np.zeros_like(got)
+    for row in docs.collect():
+        tokens = quality.buckets_of(row.text)
+        for gap in range(1, quality.WINDOW + 1):
+            for word, near in ((tokens[:-gap], tokens[gap:]), (tokens[gap:], tokens[:-gap])):
+                np.add.at(want, (word[:, None], places[near]), signs[near])
+    assert (got == want).all() and want.any()
+
+
 # 8. Packing
 
 
