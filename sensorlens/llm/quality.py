@@ -52,14 +52,15 @@ def _bucket(token: str) -> int:
 
 
 class Tokens(dict):
-    """Buckets of a piece's word and of its form: the piece with letters and digits blanked."""
+    """Buckets of a piece's word and of its form (the piece with letters and digits blanked), as
+    one number: ``word * BUCKETS + form``."""
 
-    def __missing__(self, piece: str) -> tuple[int, int]:
+    def __missing__(self, piece: str) -> int:
         word = "".join(_WORD.findall(piece)).lower()
         shape = re.sub(r"(.)\1+", r"\1+", "".join(
             "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in piece
         ))
-        buckets = _bucket(word), _bucket("shape " + shape[:16])
+        buckets = _bucket(word) * BUCKETS + _bucket("shape " + shape[:16])
         if len(self) < MEMO_PIECES and len(piece) <= 64:
             self[piece] = buckets
         return buckets
@@ -74,9 +75,9 @@ def buckets_of(text: str | None) -> np.ndarray:
     pieces = (text or "").split()
     if not pieces:
         return np.zeros(0, np.int64)
-    pairs = np.array([known[p] for p in pieces], np.int64)
-    again = np.concatenate(([False], pairs[1:, 0] == pairs[:-1, 0]))
-    table = np.column_stack((pairs, np.where(again, _AGAIN, -1))).ravel()
+    words, forms = np.divmod(np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces)), BUCKETS)
+    again = np.concatenate(([False], words[1:] == words[:-1]))
+    table = np.column_stack((words, forms, np.where(again, _AGAIN, -1))).ravel()
     return table[table >= 0]
 
 
