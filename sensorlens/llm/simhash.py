@@ -1,10 +1,14 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked exactly through vantage-point trees.
 
 A fingerprint is one or more 64-bit numbers. Two are linked if their first numbers differ in few
-bits and all their numbers in few bits together; the trees work on the first number. Their upper levels, grown from a bounded sample, cut Hamming space into shards. A fingerprint
-lives in one shard and also visits those whose boundary lies within the linking distance (triangle
-bound). Each shard finds its links with a tree of its own and returns them as a forest, so a group
-of copies of any size gives as many edges as members. Forests are joined by label contraction.
+bits and all their numbers in few bits together; a rule may also ask that their texts have about
+as many different shingles. The trees split by the distance of the first number to a vantage
+point, or by the number of shingles (their logarithm's distance to a text of one shingle is a
+vantage too), whichever fewer fingerprints cross. The upper levels, grown from a bounded sample,
+cut space into shards. A fingerprint lives in one shard and also visits those whose boundary lies
+within the linking distance (triangle bound); of two shards that could visit each other, one does.
+Each shard finds its links with a tree of its own and returns them as a forest, so a group of
+copies of any size gives as many edges as members. Forests are joined by label contraction.
 """
 
 from __future__ import annotations
@@ -34,12 +38,15 @@ HASHES_AT_ONCE = 1 << 14
 @dataclass(frozen=True)
 class Rule:
     """Shingles of ``words`` words; fingerprints of ``numbers`` 64-bit numbers, linked if the first
-    differ in at most ``first`` bits and all in at most ``distance``."""
+    differ in at most ``first`` bits and all in at most ``distance``. With ``alike`` above 0 the
+    smaller text must have at least that share of the larger one's different shingles, as any two
+    texts of that Jaccard similarity do; their number then stands behind the fingerprint's."""
 
     words: int
     numbers: int
     first: int
     distance: int
+    alike: float = 0.0
 
     @property
     def size(self) -> int:
@@ -49,7 +56,7 @@ class Rule:
 # Texts that share a Jaccard similarity of 0.8 in shingles have a cosine near 0.89, and differ in
 # 15 % of the bits on average. 512 bits set them apart from texts below it with a standard error
 # of 1.6 %; 64 bits would need a tolerance at which unlike texts meet.
-SIMILAR = Rule(words=5, numbers=8, first=22, distance=87)
+SIMILAR = Rule(words=5, numbers=8, first=22, distance=87, alike=0.8)
 
 _SHARD_ROW = pa.schema(
     [("shard", pa.int32()), ("part", pa.int32()), ("home", pa.bool_()), ("prints", pa.binary())]
@@ -69,26 +76,34 @@ def numbers_of(hashes: np.ndarray, numbers: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: bytes, words: int, numbers: int = 1) -> bytes:
+def fingerprint(text: bytes, rule: Rule) -> bytes:
     """The fingerprint, number by number in big-endian order: a bit is set if it is set in over
-    half of the shingles' hashes."""
+    half of the shingles' hashes. If the rule compares them, the number of different shingles
+    follows (0 for a text without words)."""
     from xxhash import xxh64_intdigest
 
+    words, numbers = rule.words, rule.numbers
     parts = text.lower().split()  # bytes: A-Z only, and ASCII white space only
     if not parts:
-        return bytes(8 * numbers)
+        return bytes(8 * (numbers + (rule.alike > 0)))
     joined = b" ".join(parts)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths).tolist()
     last = ends[min(words, len(parts)) - 1 :].tolist()
     ones, total = np.zeros(64 * numbers, np.int64), len(last)
+    every = []
     for at in range(0, total, HASHES_AT_ONCE):
         spans = zip(starts[at : at + HASHES_AT_ONCE], last[at : at + HASHES_AT_ONCE])
         hashes = np.array([xxh64_intdigest(joined[s:e], SEED) for s, e in spans], np.uint64)
+        if rule.alike:
+            every.append(hashes)
         cells = numbers_of(hashes, numbers).astype(">u8").view(np.uint8)
         ones += np.unpackbits(cells, axis=1).sum(axis=0, dtype=np.uint16)
-    return np.packbits(2 * ones > total).tobytes()
+    found = np.packbits(2 * ones > total).tobytes()
+    if rule.alike:
+        found += len(np.unique(np.concatenate(every))).to_bytes(8, "big")
+    return found
 
 
 def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -99,7 +114,7 @@ def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def prints():
             for doc_id, text in rows(batches):
-                yield doc_id, fingerprint(text or b"", rule.words, rule.numbers)
+                yield doc_id, fingerprint(text or b"", rule)
 
         yield from packed(prints(), schema)
 
@@ -109,7 +124,7 @@ def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def unpacked(prints: Iterable[bytes], rule: Rule) -> np.ndarray:
     """Fingerprints put together as bytes to an array with a row of numbers each."""
-    return np.frombuffer(b"".join(prints), ">u8").astype(np.uint64).reshape(-1, rule.numbers)
+    return np.frombuffer(b"".join(prints), ">u8").astype(np.uint64).reshape(-1, rule.numbers + (rule.alike > 0))
 
 
 def packed_prints(prints: np.ndarray) -> bytes:
@@ -120,47 +135,95 @@ def far(point: np.uint64, others: np.ndarray) -> np.ndarray:
     return np.bitwise_count(others ^ point)
 
 
+@dataclass(frozen=True)
+class Split:
+    """A boundary: fingerprints whose first number is at most ``radius`` bits from ``point`` are
+    inside or, without a point, those with at most ``radius`` different shingles."""
+
+    point: np.uint64 | None
+    radius: int
+
+    def sides(self, first: np.ndarray, sizes: np.ndarray, rule: Rule) -> tuple[np.ndarray, ...]:
+        """Who is inside, who may be linked to one inside, and who to one outside."""
+        if self.point is None:
+            return sizes <= self.radius, sizes * rule.alike <= self.radius, sizes >= rule.alike * self.radius
+        away = far(self.point, first).astype(np.int64) - self.radius
+        return away <= 0, away <= rule.first, away > -rule.first
+
+
+def best_split(first: np.ndarray, sizes: np.ndarray, rule: Rule) -> Split | None:
+    """The median boundary, by a vantage point or by shingles, that fewer of these cross; none if
+    they can't be told apart."""
+    point = first[len(first) // 2]
+    values = [(point, far(point, first))]
+    if rule.alike:
+        values.append((None, sizes))
+    best = None
+    for vantage, distances in values:
+        radius = int(np.median(distances))
+        if (distances <= radius).all():
+            radius -= 1
+        split = Split(vantage, radius)
+        inside, near, beyond = split.sides(first, sizes, rule)
+        crossing = np.count_nonzero(near & beyond)
+        if inside.any() and not inside.all() and (best is None or crossing < best[0]):
+            best = crossing, split
+    return best and best[1]
+
+
+def first_and_sizes(prints: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints' first numbers and, if the rule compares them, their numbers of shingles."""
+    sizes = prints[:, rule.numbers] if rule.alike else np.zeros(len(prints))
+    return np.ascontiguousarray(prints[:, 0]), sizes.astype(np.int64)
+
+
 class UpperTree:
-    """Vantage points and radii of the upper levels, by breadth; leaf ``k`` is shard ``k``."""
-
-    def __init__(self, sample: np.ndarray, depth: int):
-        self.depth = depth
-        self.points = np.zeros((1 << depth) - 1, np.uint64)
-        self.radii = np.full((1 << depth) - 1, 32, np.int64)
-        parts = {0: sample}
-        for node in range((1 << depth) - 1):
+    """Boundaries of the upper levels, by breadth; leaf ``k`` is shard ``k``."""
+
+    def __init__(self, sample: np.ndarray, depth: int, rule: Rule):
+        self.shard_count, self.rule, self.splits = 1 << depth, rule, []
+        first, sizes = first_and_sizes(sample, rule)
+        parts = {0: np.arange(len(sample))}
+        for node in range(self.shard_count - 1):
             part = parts.pop(node)
-            if len(part):
-                self.points[node] = part[len(part) // 2]
-                distances = far(self.points[node], part)
-                self.radii[node] = int(np.median(distances))
-                inside = distances <= self.radii[node]
-            else:
-                inside = np.zeros(0, bool)
+            split = (len(part) and best_split(first[part], sizes[part], rule)) or Split(np.uint64(0), 32)
+            inside = split.sides(first[part], sizes[part], rule)[0]
+            self.splits.append(split)
             parts[2 * node + 1], parts[2 * node + 2] = part[inside], part[~inside]
 
-    def shards(self, prints: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each shard the places of fingerprints (by their first numbers) that live there, and
-        of those that visit it."""
+    def shards(self, prints: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each shard the places of fingerprints that live there, and of those that visit it.
+
+        Shards stand in a ring; one is visited only from the half of the ring behind it, as two
+        fingerprints that may be linked would otherwise visit each other.
+        """
+        first, sizes = first_and_sizes(prints, self.rule)
+        lives = np.zeros(len(prints), np.int64)
+        found = []
         stack = [(0, np.arange(len(prints)), np.ones(len(prints), bool))]
         while stack:
             node, part, home = stack.pop()
             if not len(part):
                 continue
-            if node >= len(self.points):
-                yield node - len(self.points), part[home], part[~home]
+            if node >= len(self.splits):
+                shard = node - len(self.splits)
+                lives[part[home]] = shard
+                found.append((shard, part[home], part[~home]))
                 continue
-            away = far(self.points[node], prints[part]).astype(np.int64) - self.radii[node]
-            near, beyond = away <= distance, away > -distance
-            stack.append((2 * node + 1, part[near], (home & (away <= 0))[near]))
-            stack.append((2 * node + 2, part[beyond], (home & (away > 0))[beyond]))
+            inside, near, beyond = self.splits[node].sides(first[part], sizes[part], self.rule)
+            stack.append((2 * node + 1, part[near], (home & inside)[near]))
+            stack.append((2 * node + 2, part[beyond], (home & ~inside)[beyond]))
+        for shard, home, visitors in found:
+            ahead = (lives[visitors] - shard) % self.shard_count
+            opposite = (2 * ahead == self.shard_count) & (lives[visitors] > shard)
+            yield shard, home, visitors[(2 * ahead < self.shard_count) | opposite]
 
 
 def forest(home: np.ndarray, visitors: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """A forest that links what the pairs of (living, any) fingerprints that meet the rule link:
     each fingerprint with links, and its root."""
     everyone = np.concatenate((home, visitors))
-    first = np.ascontiguousarray(everyone[:, 0])
+    first, sizes = first_and_sizes(everyone, rule)
     root = np.arange(len(everyone))
 
     def unite(members: np.ndarray) -> None:
@@ -175,23 +238,25 @@ def forest(home: np.ndarray, visitors: np.ndarray, rule: Rule) -> tuple[np.ndarr
     stack = [(np.arange(len(home)), np.arange(len(everyone)))]
     while stack:
         lives, near = stack.pop()
-        if len(lives) > LEAF:
-            point = first[lives[len(lives) // 2]]
-            inner, outer = far(point, first[lives]), far(point, first[near])
-            radius = int(np.median(inner))
-            if (inner <= radius).all():
-                radius -= 1
-            split = inner <= radius
-            if split.any() and not split.all():
-                outer = outer.astype(np.int64)
-                stack.append((lives[split], near[outer <= radius + rule.first]))
-                stack.append((lives[~split], near[outer > radius - rule.first]))
-                continue
+        split = best_split(first[lives], sizes[lives], rule) if len(lives) > LEAF else None
+        if split:
+            inside = split.sides(first[lives], sizes[lives], rule)[0]
+            _, within, beyond = split.sides(first[near], sizes[near], rule)
+            stack.append((lives[inside], near[within]))
+            stack.append((lives[~inside], near[beyond]))
+            continue
+        if rule.alike:  # those of about the same size stand together
+            near = near[np.argsort(sizes[near], kind="stable")]
+            low = np.searchsorted(sizes[near], rule.alike * sizes[lives], "left")
+            high = np.searchsorted(rule.alike * sizes[near], sizes[lives], "right")
+        else:
+            low, high = np.zeros(len(lives), np.int64), np.full(len(lives), len(near))
         prints = first[near]
-        for one in lives.tolist():
-            hits = near[np.flatnonzero(far(first[one], prints) <= rule.first)]
+        for one, start, stop in zip(lives.tolist(), low.tolist(), high.tolist()):
+            hits = near[start:stop][far(first[one], prints[start:stop]) <= rule.first]
             if rule.numbers > 1 and len(hits) > 1:
-                bits = np.bitwise_count(everyone[hits] ^ everyone[one]).sum(axis=1, dtype=np.int64)
+                differ = everyone[hits, : rule.numbers] ^ everyone[one, : rule.numbers]
+                bits = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
                 hits = hits[bits <= rule.distance]
             if len(hits) > 1:
                 unite(hits)
@@ -213,18 +278,17 @@ def links(prints: DataFrame, rule: Rule) -> DataFrame:
     depth = max(0, int(np.ceil(np.log2(max(1, spread)))))
     parts = max(1, int(np.ceil(n / VISITORS)))
     sample = [bytes(row[0]) for row in prints.orderBy(F.xxhash64("print"), "print").limit(SAMPLE).collect()]
-    tree = UpperTree(unpacked(sample, rule)[:, 0], depth)
+    tree = UpperTree(unpacked(sample, rule), depth, rule)
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def blocks():
             for batch in batches:
                 values = unpacked(batch.column(0).to_pylist(), rule)
-                first = np.ascontiguousarray(values[:, 0])
-                for shard, home, visitors in tree.shards(first, rule.first):
+                for shard, home, visitors in tree.shards(values):
                     for part in range(parts):
                         if len(home):
                             yield shard, part, True, packed_prints(values[home])
-                        some = visitors[first[visitors] % np.uint64(parts) == part]
+                        some = visitors[values[visitors, 0] % np.uint64(parts) == part]
                         if len(some):
                             yield shard, part, False, packed_prints(values[some])
 
@@ -273,7 +337,7 @@ def near_copies(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hex digits) and ``component_id``: the smallest ``doc_id`` that
     can be reached over fingerprints that meet the rule.
 
-    Documents of one fingerprint are one node. Texts without words share fingerprint zero and are
+    Documents of one fingerprint (and as many shingles, if the rule compares them) are one node. Texts without words share fingerprint zero and are
     linked like any other. Rows with a null ``doc_id`` take part (a component of only such rows
     has a null id); repeated rows are listed each; an empty table gives no rows.
     """
@@ -284,7 +348,7 @@ def near_copies(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = classes.join(least, "label").select("print", "component_id")
     return prints.join(classes, "print").select(
-        "doc_id", F.lower(F.hex("print")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.hex(F.substring("print", 1, rule.size))).alias("fingerprint"), "component_id"
     )
 
 

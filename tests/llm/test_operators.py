@@ -444,7 +444,7 @@ def test_near_copies_match_brute_force(spark, texts):
     assert {tuple(r) for r in got} == {(i, f"{prints[i]:016x}", roots[i]) for i in rows}
 
 
-@pytest.mark.parametrize("rule", [simhash.Rule(4, 1, 4, 4), simhash.Rule(5, 8, 22, 87)])
+@pytest.mark.parametrize("rule", [simhash.Rule(4, 1, 4, 4), simhash.Rule(5, 8, 22, 87), simhash.SIMILAR])
 def test_links_across_shards(spark, rule, monkeypatch):
     monkeypatch.setattr(simhash, "SHARD", 100)
     monkeypatch.setattr(simhash, "VISITORS", 300)
@@ -459,10 +459,14 @@ def test_links_across_shards(spark, rule, monkeypatch):
                 row[bit // 8] ^= 1 << bit % 8
         table.append(table[-1] ^ flip)
     prints = {k: row.tobytes() for k, row in enumerate(np.unique(np.concatenate(table), axis=0))}
+    if rule.alike:  # none, few and many shingles, in groups that chains can cross or not
+        prints = {k: v + int(draw.choice([0, 1, 100, 124, 125, 126, 156, 9000])).to_bytes(8, "big") for k, v in prints.items()}
 
     def linked(a, b):
-        bits = [(x ^ y).bit_count() for x, y in zip(np.frombuffer(a, ">u8").tolist(), np.frombuffer(b, ">u8").tolist())]
-        return bits[0] <= rule.first and sum(bits) <= rule.distance
+        a, b = ([*np.frombuffer(v, ">u8").tolist()] for v in (a, b))
+        bits = [(x ^ y).bit_count() for x, y in zip(a[: rule.numbers], b[: rule.numbers])]
+        alike = not rule.alike or min(a[-1], b[-1]) >= rule.alike * max(a[-1], b[-1])
+        return bits[0] <= rule.first and sum(bits) <= rule.distance and alike
 
     roots = components(prints, linked)
     frame = spark.createDataFrame([(v,) for v in prints.values()], "print binary")
