@@ -89,7 +89,7 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("sums", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, signs = memo("quality index", _index)
+        places, signs = memo("quality index", _index, alone=True)
         sums = np.zeros(BUCKETS * DIMENSIONS)
 
         def add(tokens: np.ndarray) -> None:

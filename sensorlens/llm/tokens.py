@@ -56,7 +56,7 @@ def text_encoder(path: str, keeps_space: bool) -> Callable[[str | None], bytes]:
         tokenizer.encode_special_tokens = True
         return Pieces(lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    known = memo(("pieces", path), build)
+    known = memo(("pieces", path), build, alone=True)
     cut = SPACED if keeps_space else BARE
 
     def encode(text: str | None) -> bytes:

@@ -17,18 +17,22 @@ from sensorlens.session import scratch_dir
 # Rows turned into Python objects at once, and bytes of results sent back at once.
 ROWS_AT_ONCE = 256
 BYTES_AT_ONCE = 4 << 20
-# Shared values that a worker keeps unpacked.
-SHARED_KEPT = 4
+# Shared values that a worker keeps unpacked; a task uses one.
+SHARED_KEPT = 1
 
 
-def memo(key, build: Callable):
+def memo(key, build: Callable, alone: bool = False):
     """``build()``, once per worker process and key.
 
     Functions travel by value, so their module globals are new in every task; a module of this
-    name in ``sys.modules`` lives as long as the process.
+    name in ``sys.modules`` lives as long as the process. A step that comes behind others in the
+    same workers builds its first value ``alone``: what they kept is dropped before.
     """
-    store = sys.modules.setdefault("sensorlens_worker_memo", types.ModuleType("memo")).__dict__
+    module = sys.modules.setdefault("sensorlens_worker_memo", types.ModuleType("memo"))
+    store = module.__dict__.setdefault("kept", {})
     if key not in store:
+        if alone:
+            store.clear()
         store[key] = build()
     return store[key]
 
