@@ -9,6 +9,10 @@ cut space into shards. A fingerprint lives in one shard and also visits those wh
 within the linking distance (triangle bound); of two shards that could visit each other, one does.
 Each shard finds its links with a tree of its own and returns them as a forest, so a group of
 copies of any size gives as many edges as members. Forests are joined by label contraction.
+
+A rule that asks for alike texts is about sets: each different shingle counts once, and components
+of fingerprints only propose. Their texts are compared by exact Jaccard similarity, in blocks of
+bounded size, and only what meets it is united.
 """
 
 from __future__ import annotations
@@ -33,14 +37,18 @@ VISITORS = 1 << 18
 LEAF = 512
 # Shingle hashes whose bits are counted in one step; their counts fit 16 bits.
 HASHES_AT_ONCE = 1 << 14
+# Bytes of shingle hashes, about, in a block of texts that are compared with those of another.
+BLOCK_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
 class Rule:
     """Shingles of ``words`` words; fingerprints of ``numbers`` 64-bit numbers, linked if the first
     differ in at most ``first`` bits and all in at most ``distance``. With ``alike`` above 0 the
-    smaller text must have at least that share of the larger one's different shingles, as any two
-    texts of that Jaccard similarity do; their number then stands behind the fingerprint's."""
+    fingerprints are of different shingles, and the smaller text must have at least that share of
+    the larger one's, as any two texts of that Jaccard similarity do; their number then stands
+    behind the fingerprint's. Texts so linked are united where their Jaccard similarity is at
+    least ``alike``."""
 
     words: int
     numbers: int
@@ -76,50 +84,60 @@ def numbers_of(hashes: np.ndarray, numbers: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: bytes, rule: Rule) -> bytes:
-    """The fingerprint, number by number in big-endian order: a bit is set if it is set in over
-    half of the shingles' hashes. If the rule compares them, the number of different shingles
-    follows (0 for a text without words)."""
+def shingle_hashes(text: bytes, rule: Rule) -> np.ndarray:
+    """The hash of each shingle; if the rule compares texts, of each different one, in order."""
     from xxhash import xxh64_intdigest
 
-    words, numbers = rule.words, rule.numbers
     parts = text.lower().split()  # bytes: A-Z only, and ASCII white space only
     if not parts:
-        return bytes(8 * (numbers + (rule.alike > 0)))
+        return np.zeros(0, np.uint64)
     joined = b" ".join(parts)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths).tolist()
-    last = ends[min(words, len(parts)) - 1 :].tolist()
-    ones, total = np.zeros(64 * numbers, np.int64), len(last)
-    every = []
-    for at in range(0, total, HASHES_AT_ONCE):
-        spans = zip(starts[at : at + HASHES_AT_ONCE], last[at : at + HASHES_AT_ONCE])
-        hashes = np.array([xxh64_intdigest(joined[s:e], SEED) for s, e in spans], np.uint64)
-        if rule.alike:
-            every.append(hashes)
-        cells = numbers_of(hashes, numbers).astype(">u8").view(np.uint8)
+    last = ends[min(rule.words, len(parts)) - 1 :].tolist()
+    hashes = np.fromiter((xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, last)), np.uint64, len(last))
+    return np.unique(hashes) if rule.alike else hashes
+
+
+def fingerprint(hashes: np.ndarray, rule: Rule) -> bytes:
+    """The fingerprint, number by number in big-endian order: a bit is set if it is set in over
+    half of the shingles' hashes. If the rule compares them, the number of different shingles
+    follows (0 for a text without words)."""
+    ones = np.zeros(64 * rule.numbers, np.int64)
+    for at in range(0, len(hashes), HASHES_AT_ONCE):
+        cells = numbers_of(hashes[at : at + HASHES_AT_ONCE], rule.numbers).astype(">u8").view(np.uint8)
         ones += np.unpackbits(cells, axis=1).sum(axis=0, dtype=np.uint16)
-    found = np.packbits(2 * ones > total).tobytes()
-    if rule.alike:
-        found += len(np.unique(np.concatenate(every))).to_bytes(8, "big")
-    return found
+    found = np.packbits(2 * ones > len(hashes)).tobytes()
+    return found + len(hashes).to_bytes(8, "big") if rule.alike else found
 
 
 def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id`` and ``print``. A text without words, empty or null, has a fingerprint of zeros;
-    one with fewer words than a shingle is one shingle."""
-    schema = pa.schema([("doc_id", pa.int64()), ("print", pa.binary())])
+    """``doc_id`` and ``print``; if the rule compares texts, also ``shingles``, the hashes of the
+    different ones in order, and their digest ``content``. A text without words, empty or null, has
+    a fingerprint of zeros; one with fewer words than a shingle is one shingle."""
+    fields = [("doc_id", pa.int64()), ("print", pa.binary())]
+    if rule.alike:
+        fields += [("content", pa.binary()), ("shingles", pa.binary())]
+    schema = pa.schema(fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from hashlib import blake2b
+
         def prints():
             for doc_id, text in rows(batches):
-                yield doc_id, fingerprint(text or b"", rule)
+                hashes = shingle_hashes(text or b"", rule)
+                if rule.alike:
+                    cell = hashes.astype("<u8").tobytes()
+                    yield doc_id, fingerprint(hashes, rule), blake2b(cell, digest_size=16).digest(), cell
+                else:
+                    yield doc_id, fingerprint(hashes, rule)
 
         yield from packed(prints(), schema)
 
     table = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"))
-    return table.mapInArrow(run, "doc_id long, print binary")
+    more = ", content binary, shingles binary" if rule.alike else ""
+    return table.mapInArrow(run, "doc_id long, print binary" + more)
 
 
 def unpacked(prints: Iterable[bytes], rule: Rule) -> np.ndarray:
@@ -333,21 +351,96 @@ def _stars(pairs: DataFrame) -> bool:
     return pairs.join(roots, "u", "left_semi").select("u").union(twice).isEmpty()
 
 
+def alike_forest(sets: list[np.ndarray], blocks: np.ndarray, alike: float) -> tuple[np.ndarray, np.ndarray]:
+    """A forest that links what the pairs of a Jaccard similarity of at least ``alike`` link: each
+    set with links, and its root. Of two blocks only pairs across them are compared."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    order = np.argsort(sizes, kind="stable")
+    sizes, blocks = sizes[order], blocks[order]
+    ids = np.unique(np.concatenate([sets[k] for k in order.tolist()]), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    across = len(np.unique(blocks)) > 1
+    root = np.arange(len(sets))
+    mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
+    lowest = np.searchsorted(sizes, alike * sizes - 1e-6, "left")
+    for one in range(len(sets)):
+        others = np.arange(lowest[one], one)
+        others = others[root[others] != root[one]]
+        if across:
+            others = others[blocks[others] != blocks[one]]
+        others = others[sizes[others] > 0]
+        if not len(others) or not sizes[one]:
+            continue
+        mine = ids[starts[one] : ends[one]]
+        mark[mine] = True
+        counted = np.concatenate(([0], np.cumsum(mark[ids[starts[others[0]] : ends[others[-1]]]])))
+        begin = starts[others[0]]
+        both = counted[ends[others] - begin] - counted[starts[others] - begin]
+        mark[mine] = False
+        hits = others[both >= alike * (sizes[others] + sizes[one] - both) - 1e-6]
+        if len(hits):
+            joined = np.unique(root[np.append(hits, one)])
+            root[np.isin(root, joined)] = joined[0]
+    linked = np.flatnonzero(root != np.arange(len(root)))
+    return order[linked], order[root[linked]]
+
+
+def confirmed(texts: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
+    """Edges ``a``, ``b`` between contents of one ``label`` (``groups``: ``content``, ``label``)
+    whose components are those of all pairs there of a Jaccard similarity of ``rule.alike``.
+
+    A label's texts are dealt to blocks of some ``BLOCK_BYTES`` of hashes, and each pair of blocks
+    meets in one group, so a large label's blocks travel as often as it has blocks.
+    """
+    texts = texts.join(groups, "content").groupBy("content").agg(
+        F.first("label").alias("label"), F.first("shingles").alias("shingles")
+    )
+    texts = hold(texts, "shingles")
+    weight = texts.groupBy("label").agg(F.sum(F.length("shingles") + 64).alias("weight"))
+    weight = hold(weight.select("label", F.ceil(F.col("weight") / BLOCK_BYTES).alias("blocks")), "shingles")
+    dealt = texts.join(weight, "label").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")))
+    meets = F.explode(F.expr("transform(sequence(0L, blocks - 1), k -> struct(least(k, block) as i, greatest(k, block) as j))"))
+    dealt = dealt.withColumn("meets", meets).select("label", "meets.i", "meets.j", "block", "content", "shingles")
+
+    def join(table: pa.Table) -> pa.Table:
+        blocks = table.column("block").to_numpy()
+        if table.column("i")[0] != table.column("j")[0] and len(np.unique(blocks)) < 2:
+            return pa.table([pa.array([], pa.binary())] * 2, schema=_EDGE)
+        sets = [np.frombuffer(cell.as_buffer() or b"", "<u8") for cell in table.column("shingles")]
+        names = table.column("content")
+        a, b = alike_forest(sets, blocks, rule.alike)
+        return pa.table([names.take(pa.array(side)).cast(pa.binary()).combine_chunks() for side in (a, b)], schema=_EDGE)
+
+    return dealt.groupBy("label", "i", "j").applyInArrow(join, "a binary, b binary")
+
+
 def near_copies(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hex digits) and ``component_id``: the smallest ``doc_id`` that
-    can be reached over fingerprints that meet the rule.
+    can be reached over fingerprints that meet the rule and, if it compares texts, over texts among
+    them of a Jaccard similarity of ``rule.alike``.
 
-    Documents of one fingerprint (and as many shingles, if the rule compares them) are one node. Texts without words share fingerprint zero and are
-    linked like any other. Rows with a null ``doc_id`` take part (a component of only such rows
-    has a null id); repeated rows are listed each; an empty table gives no rows.
+    Documents of one fingerprint (if the rule compares texts, of one set of shingles) are one node.
+    Texts without words share fingerprint zero and are linked like any other. Rows with a null
+    ``doc_id`` take part (a component of only such rows has a null id); repeated rows are listed
+    each; an empty table gives no rows.
     """
     prints = hold(fingerprints(docs, rule), "prints")
-    nodes = hold(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "prints")
-    label = contract(links(nodes, rule)).withColumnRenamed("node", "print")
+    key = "content" if rule.alike else "print"
+    nodes = prints.groupBy(*dict.fromkeys((key, "print"))).agg(F.min("doc_id").alias("least"))
+    nodes = hold(nodes, "prints")
+    label = contract(links(nodes.select("print").distinct() if rule.alike else nodes, rule))
+    label = label.withColumnRenamed("node", "print")
     classes = nodes.join(label, "print", "left").withColumn("label", F.coalesce("label", "print"))
+    if rule.alike:
+        classes = hold(classes, "labels")
+        several = classes.groupBy("label").count().filter("count > 1").select("label")
+        groups = hold(classes.join(several, "label").select("content", "label"), "labels")
+        label = contract(confirmed(prints.select("content", "shingles"), groups, rule)).withColumnRenamed("node", "content")
+        classes = nodes.join(label, "content", "left").withColumn("label", F.coalesce("label", "content"))
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "label").select("print", "component_id")
-    return prints.join(classes, "print").select(
+    classes = classes.join(least, "label").select(key, "component_id")
+    return prints.drop("shingles").join(classes, key).select(
         "doc_id", F.lower(F.hex(F.substring("print", 1, rule.size))).alias("fingerprint"), "component_id"
     )
 

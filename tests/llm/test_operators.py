@@ -486,3 +486,34 @@ def test_near_copies_of_odd_rows(odd, empty):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns and {2, 6}.isdisjoint(r.doc_id for r in kept.collect())
     assert simhash.near_copies(empty).count() == simhash.keep_one(empty).count() == 0
+
+
+def test_repeated_lines_do_not_decide(spark):
+    """Different texts that share a line many times stay apart; one text with its line repeated is linked."""
+    draw = random.Random(6)
+    words = lambda n: " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
+    line, body = words(20), words(300)
+    rows = [(1, " ".join([line] * 30 + [words(200)])), (2, " ".join([line] * 30 + [words(200)]))]
+    rows += [(3, " ".join([body] + [line] * 2)), (4, " ".join([body] + [line] * 30))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(table).collect()} == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
+@pytest.mark.parametrize("block", [1 << 24, 4000])
+def test_near_copies_are_confirmed(spark, block, monkeypatch):
+    """What fingerprints propose is united by exact Jaccard similarity, over any number of blocks."""
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", block)
+    draw = random.Random(7)
+    rows = {}
+    for group in range(3):
+        base = [f"w{draw.randrange(10**9)}" for _ in range(200)]
+        for k in range(25):
+            text = list(base)
+            for at in draw.sample(range(200), draw.randint(1, 9)):
+                text[at] = f"x{draw.randrange(10**9)}"
+            rows[100 * group + k] = " ".join(text)
+    rule = simhash.Rule(5, 8, 64, 512, 0.8)  # proposes all that are about as long
+    sets = {k: set(zip(*(text.split()[n:] for n in range(5)))) for k, text in rows.items()}
+    roots = components(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    got = simhash.near_copies(spark.createDataFrame([*rows.items()], "doc_id long, text string"), rule)
+    assert {r.doc_id: r.component_id for r in got.collect()} == roots and 3 < len(set(roots.values())) < len(rows)
