@@ -2,9 +2,9 @@
 
 A word is a sequence of characters between a begin and an end mark. N-grams are counted over all
 labelled texts, by words first and then by n-gram, so what is shuffled grows with the vocabulary.
-A model holds, per order, the sorted hashes of its n-grams with their interpolated log
-probabilities, and the sorted hashes of its contexts with the log weight of the lower order. Hashes
-have ``KEY_BITS`` bits, which bounds a model whatever the corpus. The language with the lowest
+A model holds, per order, the sorted 64-bit hashes of its n-grams with their interpolated log
+probabilities, and the sorted hashes of its contexts with the log weight of the lower order, so it
+grows with the distinct n-grams of its language. The language with the lowest
 cross-entropy per symbol wins; a text whose cross-entropy is far from any of its language's own is
 rejected.
 """
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from sensorlens.llm.workers import Shared, packed, rows
 
 ORDER = 5
-# Bits of an n-gram's hash: a language has at most ORDER * 2**KEY_BITS n-grams and as many contexts.
-KEY_BITS = 18
 # Labelled documents per language that calibrate, at most: every CALIBRATE_EVERY-th of those with
 # the least hash. The models learn from all others.
 CALIBRATORS = 64
@@ -54,7 +52,7 @@ def has_letter(words: Iterable[str]) -> bool:
 
 
 class Symbols:
-    """Words laid out as symbols, and the hash (``KEY_BITS`` bits) of the n-gram that ends at each."""
+    """Words laid out as symbols, and the hash (64 bits) of the n-gram that ends at each."""
 
     def __init__(self, words: list[str]):
         self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
@@ -74,7 +72,7 @@ class Symbols:
             back = np.zeros(len(codes), np.uint64)
             back[n - 1 :] = mixed[: len(codes) - n + 1]
             whole = whole + back * np.uint64(power)
-            self.hashes[n] = whole >> np.uint64(64 - KEY_BITS)
+            self.hashes[n] = whole
             power = power * _STEP % (1 << 64)
 
     def grams(self, n: int) -> np.ndarray:
@@ -101,7 +99,7 @@ def gram_counts(counts: dict[str, int]) -> pa.Table:
     for n in range(1, ORDER + 1):
         at = symbols.grams(n)
         keys, group = np.unique(symbols.hashes[n][at], return_inverse=True)
-        suffix, context = np.full((2, len(keys)), 1 << KEY_BITS, np.uint64)
+        suffix, context = np.full((2, len(keys)), np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(suffix, group, symbols.hashes[n - 1][at])
         if n > 1:
             np.minimum.at(context, group, symbols.hashes[n - 1][at - 1])
@@ -116,7 +114,7 @@ def gram_counts(counts: dict[str, int]) -> pa.Table:
 
 
 _GRAM = ["n", "key", "suffix", "context", "inner", "seen"]
-_KINDS = [np.int32, np.int32, np.int32, np.int32, np.bool_, np.int64]
+_KINDS = [np.int32, np.int64, np.int64, np.int64, np.bool_, np.int64]
 
 
 class KneserNey:
@@ -131,7 +129,7 @@ class KneserNey:
         distinct = {}
         for n in range(1, ORDER + 1):
             part = [cell[order == n] for cell in cells]
-            sort = np.argsort(part[0], kind="stable")
+            sort = np.argsort(part[0].astype(np.uint64), kind="stable")  # stored as signed numbers
             distinct[n] = [cell[sort].astype(kind) for cell, kind in zip(part, (np.uint64,) * 3 + (bool, float))]
         lower = np.full(0, 0.0)
         for n in range(1, ORDER + 1):
@@ -266,7 +264,7 @@ def _gram_counts(words: DataFrame) -> DataFrame:
             grams = gram_counts(found)
             yield from grams.add_column(0, "lang", pa.array([lang] * len(grams), pa.string())).to_batches()
 
-    shape = "lang string, n int, key int, suffix int, context int, inner boolean, seen long"
+    shape = "lang string, n int, key long, suffix long, context long, inner boolean, seen long"
     return words.select("lang", "word", "seen").mapInArrow(run, shape).groupBy("lang", "n", "key").agg(
         F.min("suffix").alias("suffix"), F.min("context").alias("context"), F.max("inner").alias("inner"),
         F.sum("seen").alias("seen"),
@@ -277,7 +275,7 @@ def learn(docs: DataFrame, where: Column | None = None, calibrators: int = CALIB
     """Fits a model per value of ``lang`` on all its documents but those, at most ``calibrators``,
     that calibrate it; ``where`` limits the rows that may be learnt from. Rows with a null text,
     ``lang`` or ``doc_id`` teach nothing. Without rows to learn from there is no model. The driver
-    gets at most ``ORDER * 2**KEY_BITS`` n-grams of a language, whatever the input."""
+    gets every distinct n-gram of a language once."""
     usable = docs if where is None else docs.filter(where)
     usable = usable.filter("lang is not null and doc_id is not null and text is not null")
     # First per language and slice, so that however many tasks there are, few rows of a language

@@ -240,6 +240,50 @@ def test_all_texts_are_counted(spark, docs, monkeypatch):
         assert {(n, key): (inner, seen) for n, key, _, _, inner, seen in found[lang]} == rows
 
 
+def test_many_ngrams_keep_their_own_counts():
+    """A model of more n-grams than short keys tell apart scores as one with exact string keys."""
+    draw = random.Random(8)
+    letters = "".join(map(chr, range(0x4E00, 0x4E00 + 300)))
+    counts = Counter("".join(draw.choice(letters) for _ in range(6)) for _ in range(60_000))
+    model = langid.KneserNey(counts, alphabet=301)
+    seen, before, inner = {}, {}, set()
+    for word, k in counts.items():
+        marked = f"\x01{word}\x02"
+        for n in range(1, langid.ORDER + 1):
+            for at in range(max(0, 2 - n), len(marked) - n + 1):
+                gram = marked[at : at + n]
+                seen[gram] = seen.get(gram, 0) + k
+                if at:
+                    before.setdefault(gram, set()).add(marked[at - 1])
+                    inner.add(gram)
+    assert [len(model.grams[n][0]) for n in range(1, 6)] == [sum(len(g) == n for g in seen) for n in range(1, 6)]
+    logs, heads = {"": 1 / 301}, {}
+    for n in range(1, langid.ORDER + 1):
+        count = {g: len(before[g]) if n < langid.ORDER and g in inner else c for g, c in seen.items() if len(g) == n}
+        once, twice = (sum(c == k for c in count.values()) for k in (1, 2))
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        total, kinds = Counter(), Counter()
+        for g, c in count.items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        heads |= {g: discount * kinds[g] / total[g] for g in total}
+        logs |= {g: (c - discount) / total[g[:-1]] + heads[g[:-1]] * logs[g[1:]] for g, c in count.items()}
+
+    def score(word):
+        marked, found = f"\x01{word}\x02", 0.0
+        for at in range(1, len(marked)):
+            for n in range(min(langid.ORDER, at + 1), -1, -1):
+                gram = marked[at - n + 1 : at + 1] if n else ""
+                if gram in logs:
+                    found += np.log(logs[gram])
+                    break
+                found += np.log(heads.get(gram[:-1], 1.0))
+        return found
+
+    words = [*list(counts)[:200], *("".join(draw.choice(letters) for _ in range(6)) for _ in range(200))]
+    assert model.score(langid.Symbols(words)) == pytest.approx([score(w) for w in words], abs=1e-4)
+
+
 # 6. Token files
 
 
