@@ -18,17 +18,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlens.llm.workers import Shared, packed, rows
 
 ORDER = 5
-# Labelled documents per language that calibrate, at most: every CALIBRATE_EVERY-th of those with
-# the least hash. The models learn from all others.
-CALIBRATORS = 64
+# One of so many labelled documents calibrates, by its hash. The models learn from all others.
 CALIBRATE_EVERY = 8
-SLICES = 16
+# Rank error of a language's rejection quantile: one in so many of its calibrating documents.
+QUANTILE_ACCURACY = 100_000
+SHARPNESSES = [2.0**k for k in range(0, 7)]
 # Words that a task counts before it passes them on, and that are taken apart at once.
 WORDS_HELD = 1 << 18
 WORDS_AT_ONCE = 1 << 15
@@ -271,57 +271,53 @@ def _gram_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def learn(docs: DataFrame, where: Column | None = None, calibrators: int = CALIBRATORS) -> Model | None:
-    """Fits a model per value of ``lang`` on all its documents but those, at most ``calibrators``,
-    that calibrate it; ``where`` limits the rows that may be learnt from. Rows with a null text,
-    ``lang`` or ``doc_id`` teach nothing. Without rows to learn from there is no model. The driver
-    gets every distinct n-gram of a language once."""
+def calibrates() -> Column:
+    """Whether a document is held out from learning, by its ``doc_id``."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(CALIBRATE_EVERY)) == 0
+
+
+def learn(docs: DataFrame, where: Column | None = None) -> Model | None:
+    """Fits a model per value of ``lang`` on all its documents but those held out, which calibrate
+    it; ``where`` limits the rows that may be learnt from. A language of fewer than
+    ``CALIBRATE_EVERY`` rows, or with all of them held out, learns from all and has none to
+    calibrate. Rows with a null text, ``lang`` or ``doc_id`` teach nothing. Without rows to learn
+    from there is no model. The driver gets every distinct n-gram of a language once."""
     usable = docs if where is None else docs.filter(where)
     usable = usable.filter("lang is not null and doc_id is not null and text is not null")
-    # First per language and slice, so that however many tasks there are, few rows of a language
-    # meet in one of them.
-    slice_ = F.pmod(F.xxhash64("doc_id", F.lit("slice")), F.lit(SLICES))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = usable.select("doc_id", "lang", slice_.alias("slice"))
-    for keys in (["lang", "slice"], ["lang"]):
-        turn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        chosen = chosen.withColumn("turn", turn).filter(F.col("turn") <= calibrators * CALIBRATE_EVERY)
-    chosen = chosen.filter(F.col("turn") % CALIBRATE_EVERY == 0).select("doc_id", "lang")
-    # At most ``calibrators`` rows for each language.
-    chosen = F.broadcast(docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema))
-    usable = usable.select("doc_id", "lang", "text")
-    grams = _gram_counts(_word_counts(usable.join(chosen, ["doc_id", "lang"], "left_anti"))).toArrow()
+    usable = usable.select("doc_id", "lang", "text", calibrates().alias("held"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.count_if("held").alias("held"))
+    small = [r.lang for r in sizes.collect() if r.n < CALIBRATE_EVERY or r.n == r.held]
+    held = F.col("held") & ~F.col("lang").isin(small)
+    grams = _gram_counts(_word_counts(usable.filter(~held))).toArrow()
     languages = sorted(grams.column("lang").unique().to_pylist())
     if not languages:
         return None
     alphabet = len(grams.filter(pc.equal(grams["n"], 1)).column("key").unique()) + 1
     models = [KneserNey(grams.filter(pc.equal(grams["lang"], lang)), alphabet) for lang in languages]
     model = Model(languages, models, 1.0, np.zeros(0))
-    _calibrate(model, usable.join(chosen, ["doc_id", "lang"]), alphabet)
+    _calibrate(model, usable.filter(held), alphabet)
     return model
 
 
-def _calibrate(model: Model, sample: DataFrame, alphabet: int) -> None:
+def _calibrate(model: Model, held: DataFrame, alphabet: int) -> None:
     """How sharply entropies tell languages apart, and the entropy beyond which a text is rejected:
-    half way from what nearly all of a language's own texts stay below to evenly drawn symbols."""
-    scored = entropies(sample.select("doc_id", "text", "lang"), model).select("entropies", "lang")
-    seen = [(np.array(r.entropies), r.lang) for r in scored.collect() if r.entropies and r.lang in model.languages]
-    uniform = float(np.log(alphabet))
-    own = {lang: [e[k] for e, of in seen if of == lang] for k, lang in enumerate(model.languages)}
-    model.limits = np.array(
-        [(np.quantile(own[lang], 0.999) + uniform) / 2 if own[lang] else uniform for lang in model.languages]
-    )
+    half way from what nearly all of a language's held-out texts stay below to evenly drawn symbols."""
+    names = F.array(*map(F.lit, model.languages))
+    scored = entropies(held.select("doc_id", "text", "lang"), model).filter("entropies is not null")
+    scored = scored.withColumns({"h": F.array_min("entropies"), "place": F.array_position(names, F.col("lang")).cast("int")})
+    scored = scored.filter("place > 0").withColumn("own", F.expr("entropies[place - 1]"))
+    losses = [
+        F.sum(F.expr(f"{s!r}D * (own - h) + ln(aggregate(entropies, 0d, (a, e) -> a + exp({s!r}D * (h - e))))"))
+        for s in SHARPNESSES
+    ]
+    seen = scored.groupBy("lang").agg(
+        F.percentile_approx("own", 0.999, QUANTILE_ACCURACY).alias("most"), F.array(*losses).alias("losses")
+    ).collect()
+    uniform, most = float(np.log(alphabet)), {row.lang: row.most for row in seen}
+    model.limits = np.array([(most.get(lang, uniform) + uniform) / 2 for lang in model.languages])
     if seen:
-        table = np.stack([e for e, _ in seen])
-        truth = np.array([model.languages.index(of) for _, of in seen])
-
-        def loss(sharpness: float) -> float:
-            logits = -sharpness * table
-            top = logits.max(axis=1)
-            total = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
-            return float((total - logits[np.arange(len(truth)), truth]).mean())
-
-        model.sharpness = min((2.0**k for k in range(0, 7)), key=loss)
+        total = np.sum([row.losses for row in sorted(seen, key=lambda row: row.lang)], axis=0)
+        model.sharpness = SHARPNESSES[int(np.argmin(total))]
 
 
 def entropies(docs: DataFrame, model: Model) -> DataFrame:

@@ -284,6 +284,22 @@ def test_many_ngrams_keep_their_own_counts():
     assert model.score(langid.Symbols(words)) == pytest.approx([score(w) for w in words], abs=1e-4)
 
 
+def test_all_held_out_texts_calibrate(spark):
+    draw = random.Random(9)
+    vocabulary = {"aa": ["".join(draw.choice("abcdefg") for _ in range(4)) for _ in range(80)], "zz": ["".join(draw.choice("tuvwxyz") for _ in range(4)) for _ in range(80)]}
+    rows = [(k, " ".join(draw.choices(vocabulary[lang], k=12)), lang) for k in range(2500) for lang in [("aa", "zz")[k % 2]]]
+    table = spark.createDataFrame([*rows, (9000, "lonely words", "one")], "doc_id long, text string, lang string")
+    model = langid.learn(table)
+    assert model.languages == ["aa", "one", "zz"]
+    uniform = -model.models[0].unseen
+    held = langid.entropies(table.filter(langid.calibrates()).filter("lang != 'one'"), model).select("doc_id", "entropies").collect()
+    for k, parity in ((0, 0), (2, 1)):
+        own = sorted(r.entropies[k] for r in held if r.doc_id % 2 == parity)
+        assert len(own) > 100
+        assert model.limits[k] == pytest.approx((own[int(np.ceil(0.999 * len(own))) - 1] + uniform) / 2)
+    assert model.limits[1] == pytest.approx(uniform)
+
+
 # 6. Token files
 
 
