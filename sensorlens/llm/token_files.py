@@ -29,14 +29,24 @@ _SHARD = pa.schema(
 )
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: int = 16) -> None:
+def bits_of(tokenizer: str, end_id: int) -> int:
+    """Bits that the ids of a tokenizer and ``end_id`` need."""
+    from tokenizers import Tokenizer
+
+    return max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values()).bit_length()
+
+
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: int | None = None) -> None:
     """Writes the ids of all documents, ``end_id`` behind each, in ascending ``doc_id`` order.
 
     Documents are dealt by ranges of ``doc_id`` before they are encoded; each task writes one
-    Parquet file (Zstandard), whose rows hold a wavelet matrix of ``width`` bit planes over some
+    Parquet file (Zstandard), whose rows hold a wavelet matrix of ``width`` bit planes (as many as
+    the tokenizer's largest id or ``end_id`` needs, if not given; an id that needs more fails) over some
     ``SHARD_TOKENS`` ids, the ids and token counts of its documents, and its place in the file.
     Null texts are empty, a null ``doc_id`` comes first, rows of one ``doc_id`` follow by text.
     """
+    if width is None:
+        width = bits_of(tokenizer, end_id)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part = text_encoder(tokenizer, keeps_space=False), TaskContext.get().partitionId()

@@ -13,7 +13,10 @@ STRIDE = 512
 
 
 def build(tokens: np.ndarray, width: int) -> tuple[bytes, bytes, list[int]]:
-    """Planes (each ``ceil(n / 8)`` bytes), ranks at every ``STRIDE`` bits, zeros per plane."""
+    """Planes (each ``ceil(n / 8)`` bytes), ranks at every ``STRIDE`` bits, zeros per plane.
+    A token of more than ``width`` bits fails."""
+    if len(tokens) and int(tokens.max()) >> width:
+        raise ValueError(f"token {int(tokens.max())} needs more than {width} bits")
     planes, ranks, zeros = [], [], []
     for shift in range(width - 1, -1, -1):
         bits = ((tokens >> shift) & 1).astype(bool)

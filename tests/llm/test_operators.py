@@ -348,6 +348,15 @@ def test_wavelet(n):
         assert matrix.count(token) == (tokens == token).sum()
 
 
+def test_ids_of_more_than_16_bits(spark):
+    path = scratch_dir(spark, "test")
+    token_files.write(spark.createDataFrame([(1, "a word")], "doc_id long, text string"), path, queries.WORD_BPE, 70_000)
+    assert np.frombuffer(token_files.read(spark, path).first().ids, "<u4")[-1] == 70_000
+    assert token_files.bits_of(queries.WORD_BPE, 2) == 16
+    with pytest.raises(ValueError):
+        wavelet.build(np.array([1, 1 << 16], np.uint32), 16)
+
+
 # 7. Quality
 
 
