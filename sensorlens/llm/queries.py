@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlens.llm import ann, bpe, chat, exact_dedup, langid, licences, packing, quality, simhash, token_files
+from sensorlens.llm import ann, bpe, chat, exact_dedup, langid, licences, packing, periods, quality, simhash, token_files
 from sensorlens.session import prepare, scratch_dir
 
 # Vocabularies: places outside this repository, which a deployment may change.
@@ -173,3 +173,8 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"), simhash.Rule(words=4, numbers=1, first=4, distance=4))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.collapse(table(spark, sf_dir, "documents"), change=periods.planted))
