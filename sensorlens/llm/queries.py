@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlens.llm import ann, bpe, chat, exact_dedup, langid, licences, packing, periods, quality, simhash, spellings, token_files
+from sensorlens.llm import ann, bpe, chat, exact_dedup, langid, licences, ngram_join, packing, periods, quality, simhash, spellings, token_files
 from sensorlens.session import prepare, scratch_dir
 
 # Vocabularies: places outside this repository, which a deployment may change.
@@ -175,6 +175,11 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"), simhash.Rule(words=4, numbers=1, first=4, distance=4))
 
 
+@query("op11_prefix_trees")
+def prefix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_sets(table(spark, sf_dir, "documents"), ngram_join.Rule(words=3, share=90))
+
+
 @query("op12_spelling_variants")
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings.variants(table(spark, sf_dir, "documents"), spellings.Rule(slips=199))
