@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from sensorlens import session
 from sensorlens.functions import timing
-from sensorlens.operators import mvad
+from sensorlens.operators import fitdays, mvad
 from sensorlens.plans.fixtures import CUTOFF, START, sql
 from sensorlens.plans.registry import query, rounded
+from sensorlens.sources import files
 
 STEP = "1min"
 # The readings' own split: the first three fifths of their time train the detector.
@@ -218,3 +219,120 @@ def _(t):
 )
 def _(t):
     return mvad.fit_report(t.telemetry, t.features, CUTOFF)
+
+
+# Stored fit state: history first, then some days, the last of them again, and one more.
+_STORED_RUNS = (
+    ("2024-01-01", "2024-01-14"), ("2024-01-15", "2024-01-18"), ("2024-01-18", "2024-01-18"),
+    ("2024-01-19", "2024-01-19"),
+)
+_stored: dict[tuple[str, str], str] = {}
+
+
+def _fit_state(t) -> str:
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _stored or not session.exists(t.spark, _stored[key]):
+        path = session.scratch_dir(t.spark, "fit-state")
+        files.append_telemetry(t.telemetry, f"{path}/telemetry", files_per_date=2)
+        for first, last in _STORED_RUNS:
+            fitdays.store_range(
+                t.spark, f"{path}/telemetry", t.features, f"{path}/days", first, last, "1hour", "diagonal"
+            )
+        _stored[key] = path
+    return f"{_stored[key]}/days"
+
+
+def _merged(t):
+    pairs = t.spark.read.schema(fitdays.PAIRS).parquet(f"{_fit_state(t)}/pairs")
+    return session.hold(fitdays.merged_pairs(pairs), "merged")
+
+
+_HOURS = (
+    "bins AS (SELECT asset, tag, time_bucket(INTERVAL 1 HOUR, timestamp) AS timestamp, "
+    "avg(value) AS v FROM telemetry JOIN features USING (tag) GROUP BY ALL)"
+)
+_PAST = f"{_HOURS}, past AS (SELECT * FROM bins WHERE timestamp < TIMESTAMP '{CUTOFF}')"
+
+
+@query(
+    "fit_days_moments",
+    sql(
+        "telemetry features",
+        f"WITH {_PAST} SELECT asset, tag, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS sd, "
+        "count(*) AS bins FROM past GROUP BY ALL",
+    ),
+)
+def _(t):
+    return rounded(fitdays.merged_moments(_merged(t)), "mean", "sd")
+
+
+@query(
+    "fit_days_correlations",
+    sql(
+        "telemetry features",
+        f"""
+        WITH {_PAST},
+        m AS (SELECT tag, avg(v) AS mean, sqrt(var_pop(v) * count(*)) AS size FROM past GROUP BY tag)
+        SELECT a.asset, a.tag, b.tag AS tag1,
+            round(sum((a.v - x.mean) * (b.v - y.mean)) / (any_value(x.size) * any_value(y.size)), 6) AS correlation
+        FROM past a JOIN past b ON a.asset = b.asset AND a.timestamp = b.timestamp AND a.tag <= b.tag
+        JOIN m x ON x.tag = a.tag JOIN m y ON y.tag = b.tag GROUP BY ALL
+        """,
+    ),
+)
+def _(t):
+    return rounded(fitdays.merged_correlations(_merged(t)), "correlation")
+
+
+_STORED_SCORES = f"""
+    {_PAST},
+    upto AS (SELECT DISTINCT greatest(CAST(timestamp AS DATE), DATE '2024-01-14') AS day FROM past),
+    runs AS (SELECT day AS first, CASE WHEN day BETWEEN DATE '2024-01-15' AND DATE '2024-01-17'
+        THEN DATE '2024-01-18' ELSE day END AS day FROM upto),
+    m AS (SELECT runs.day, tag, avg(v) AS mean, stddev_samp(v) AS sd
+        FROM (SELECT DISTINCT day FROM runs) runs JOIN past ON CAST(timestamp AS DATE) <= runs.day GROUP BY ALL),
+    width AS (SELECT asset, count(*) AS d FROM features GROUP BY asset),
+    old AS (SELECT past.asset, timestamp, sum(coalesce(CASE WHEN sd > 0 THEN (v - mean) / sd END, 0) ** 2) / any_value(d) AS score
+        FROM past JOIN runs ON runs.first = greatest(CAST(timestamp AS DATE), DATE '2024-01-14')
+        JOIN m ON m.day = runs.day AND m.tag = past.tag JOIN width ON width.asset = past.asset GROUP BY ALL),
+    counts AS (SELECT asset, CAST(floor(ln(greatest(score, {fitdays.LEAST_SCORE})) / ln({fitdays.BUCKET_FACTOR}::DOUBLE)) AS BIGINT) AS bucket,
+        count(*) AS n FROM old GROUP BY ALL),
+    ranked AS (SELECT *, sum(n) OVER (PARTITION BY asset ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY asset) AS whole FROM counts),
+    lim AS (SELECT asset, {fitdays.BUCKET_FACTOR}::DOUBLE ** (min(bucket) + 1) AS threshold, CAST(any_value(whole) AS BIGINT) AS train_bins
+        FROM ranked WHERE upto >= ceil(whole * 0.99::DOUBLE) GROUP BY asset)
+"""
+
+
+@query(
+    "fit_days_limits",
+    sql(
+        "telemetry features",
+        f"WITH {_STORED_SCORES.strip()} SELECT asset, round(threshold, 6) AS threshold, train_bins, "
+        "280 AS sliding_window FROM lim",
+    ),
+)
+def _(t):
+    model = fitdays.fit_stored(t.spark, t.features, _fit_state(t), mode="diagonal")
+    return rounded(model.select("asset", "threshold", "train_bins", "sliding_window"), "threshold")
+
+
+@query(
+    "fit_days_score",
+    sql(
+        "telemetry features",
+        f"""
+        WITH {_STORED_SCORES.strip()},
+        new AS (SELECT bins.asset, timestamp, sum(coalesce(CASE WHEN sd > 0 THEN (v - mean) / sd END, 0) ** 2) / any_value(d) AS score
+            FROM bins JOIN m ON m.tag = bins.tag AND m.day = DATE '2024-01-19' JOIN width ON width.asset = bins.asset
+            WHERE timestamp >= TIMESTAMP '{CUTOFF}' GROUP BY ALL)
+        SELECT asset, timestamp, round(score, 6) AS score, score > threshold AS is_anomaly,
+            round(CASE WHEN score > threshold THEN 1 - threshold / score ELSE 0 END, 6) AS severity
+        FROM new JOIN lim USING (asset)
+        """,
+    ),
+)
+def _(t):
+    model = fitdays.fit_stored(t.spark, t.features, _fit_state(t), CUTOFF, mode="diagonal")
+    late = t.telemetry.filter(F.col("timestamp") >= timing.literal(CUTOFF))
+    vecs = mvad.vectors(mvad.asset_frames(late, t.features, "1hour"), model)
+    return rounded(mvad.mvad_score(vecs, model).drop("missing"), "score", "severity")
