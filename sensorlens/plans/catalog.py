@@ -3,6 +3,7 @@
 from sensorlens.plans import (  # noqa: F401
     asset_queries,
     detector_queries,
+    pyramid_queries,
     series_queries,
     stream_queries,
     table_queries,
