@@ -140,30 +140,51 @@ def fill_linear(series: DataFrame, by: Sequence[str] = TAG) -> DataFrame:
     )
 
 
+# Autocorrelation from which on a series has a season, and how far below the best the shortest may lie.
+_SEASONAL = 0.6
+_NEAR_BEST = 0.05
+
+
+def autocorrelation(x: np.ndarray, lags: int) -> np.ndarray:
+    """Correlation about zero of a series with itself, ``lags`` places on, for each lag up to it.
+
+    All products come from one Fourier transform. Its error is relative to the whole series, so
+    where the overlapping parts are next to nothing beside it, they are multiplied out.
+    """
+    n = len(x)
+    largest = np.abs(x).max(initial=0.0)
+    if not largest > 0:
+        return np.zeros(lags + 1)
+    x = x / largest
+    size = 1 << int(n + lags).bit_length()
+    spectrum = np.fft.rfft(x, size)
+    products = np.fft.irfft(spectrum * spectrum.conj(), size)[: lags + 1]
+    squares, lag = x * x, np.arange(lags + 1)
+    scale = np.sqrt(np.cumsum(squares)[n - lag - 1] * np.cumsum(squares[::-1])[n - lag - 1])
+    for k in np.flatnonzero((scale > 0) & (scale < 1e-6 * scale[0])).tolist():
+        products[k] = np.dot(x[: n - k], x[k:])
+    return np.divide(products, scale, out=np.zeros(lags + 1), where=scale > 0)
+
+
+def season_of(x: np.ndarray) -> int:
+    """Season length of a detrended series, from 3 to a third of its length: the shortest lag on top
+    of a hill of the autocorrelation whose height is near the best; 0 if there is none."""
+    last = len(x) // 3
+    if last < 3:
+        return 0
+    r = autocorrelation(x, last + 1)
+    lags = np.arange(3, last + 1)
+    top = (r[lags] >= r[lags - 1]) & (r[lags] >= r[lags + 1]) & (r[lags] >= _SEASONAL)
+    lags = lags[top]
+    if not len(lags):
+        return 0
+    # Multiples of the season score alike.
+    return int(lags[r[lags] >= r[lags].max() - _NEAR_BEST][0])
+
+
 @F.pandas_udf(IntegerType())
 def _period(detrended: pd.Series) -> pd.Series:
-    """Season length of each detrended series by autocorrelation; 0 if there is none."""
-
-    def one(values) -> int:
-        x = np.asarray(values, dtype=float)
-        n = len(x)
-        last = min(n // 3, 400)
-        if last < 3:
-            return 0
-        scores = np.zeros(last + 2)
-        for lag in range(2, last + 2):
-            a, b = x[: n - lag], x[lag:]
-            scale = np.sqrt(np.dot(a, a) * np.dot(b, b))
-            scores[lag] = np.dot(a, b) / scale if scale > 0 else 0.0
-        inner = np.arange(3, last + 1)
-        peak = (scores[inner] >= scores[inner - 1]) & (scores[inner] >= scores[inner + 1])
-        lags = inner[peak & (scores[inner] >= 0.6)]
-        if not len(lags):
-            return 0
-        # Multiples of the season score alike; take the shortest of the near-best.
-        return int(lags[scores[lags] >= scores[lags].max() - 0.05][0])
-
-    return detrended.map(one)
+    return detrended.map(lambda values: season_of(np.asarray(values, dtype=float)))
 
 
 def decompose_anomalies(
@@ -172,8 +193,10 @@ def decompose_anomalies(
     seasonality: str | int = "auto",
     trend: str = "linefit",
     by: Sequence[str] = TAG,
+    with_period: bool = False,
 ) -> DataFrame:
-    """Adds ``baseline``, ``score`` and ``flag`` (-1, 0 or +1) to a filled series.
+    """Adds ``baseline``, ``score`` and ``flag`` (-1, 0 or +1) to a filled series, and if asked
+    ``period``, the season in bins (0 without one).
 
     The baseline is the least-squares line, plus the mean of each phase when the series has a
     season ("auto" looks for one, "none" assumes none, a number is the season in bins). The
@@ -196,7 +219,7 @@ def decompose_anomalies(
     df = df.withColumn("_line", line)
 
     if seasonality == "none":
-        df = df.withColumn("baseline", F.col("_line"))
+        df = df.withColumn("baseline", F.col("_line")).withColumn("_period", F.lit(0))
     else:
         if seasonality == "auto":
             df = _with_period(df, by)
@@ -228,7 +251,10 @@ def decompose_anomalies(
             "flag",
             F.when(F.abs("score") > threshold, F.signum("score").cast("int")).otherwise(F.lit(0)),
         )
-        .select(*series.columns, "baseline", "score", "flag")
+        .select(
+            *series.columns, "baseline", "score", "flag",
+            *([F.col("_period").cast("bigint").alias("period")] if with_period else []),
+        )
     )
 
 

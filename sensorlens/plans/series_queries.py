@@ -452,19 +452,40 @@ def _(t):
     return rounded(out, "value", digits=8)
 
 
-def _flags(period: int | None) -> str:
-    """Views that end in ``d(tag, ts, idx, v, baseline, score, flag)``."""
-    phase = f"idx % {period}" if period else "0"
-    season = (
-        f"avg(v - line) OVER (PARTITION BY tag, {phase})" if period else "CAST(0.0 AS DOUBLE)"
-    )
+# The season of each tag, from the autocorrelation of its detrended bins at every lag to a third.
+_SEASON = """
+        x AS (SELECT tag, list(v - line ORDER BY idx) AS x, count(*) AS n FROM l GROUP BY tag),
+        lags AS (
+            SELECT tag, n, k, x[1:n - k] AS a, x[k + 1:n] AS b
+            FROM (SELECT *, unnest(range(2, n // 3 + 2)) AS k FROM x WHERE n >= 9)),
+        r AS (
+            SELECT tag, n, k, coalesce(list_dot_product(a, b)
+                / nullif(sqrt(list_dot_product(a, a) * list_dot_product(b, b)), 0), 0) AS r FROM lags),
+        hills AS (
+            SELECT *, lag(r) OVER w AS before, lead(r) OVER w AS after FROM r
+            WINDOW w AS (PARTITION BY tag ORDER BY k)),
+        tops AS (
+            SELECT tag, k, r, max(r) OVER (PARTITION BY tag) AS best FROM hills
+            WHERE k BETWEEN 3 AND n // 3 AND r >= before AND r >= after AND r >= 0.6),
+        season AS (SELECT tag, min(k) AS period FROM tops WHERE r >= best - 0.05 GROUP BY tag),
+        s AS (SELECT l.*, period FROM l LEFT JOIN season USING (tag)),"""
+
+
+def _flags(period: int | str | None) -> str:
+    """Views that end in ``d(tag, ts, idx, v, baseline, score, flag)``; "auto" looks for seasons."""
+    auto = period == "auto"
+    phase = "idx % coalesce(period, 1)" if auto else f"idx % {period}"
+    season = f"avg(v - line) OVER (PARTITION BY tag, {phase})" if period else "CAST(0.0 AS DOUBLE)"
+    if auto:
+        season = f"CASE WHEN period IS NULL THEN 0 ELSE {season} END"
+    lines = "s" if auto else "l"
     return f"""
         fit AS (
             SELECT tag, regr_slope(v, idx) AS s, avg(v) AS my, avg(idx) AS mx FROM f GROUP BY tag),
         l AS (
             SELECT f.*, my + CASE WHEN s IS NULL OR isnan(s) THEN 0 ELSE s END * (idx - mx) AS line
-            FROM f JOIN fit USING (tag)),
-        p AS (SELECT *, line + {season} AS baseline FROM l),
+            FROM f JOIN fit USING (tag)),{_SEASON if auto else ""}
+        p AS (SELECT *, line + {season} AS baseline FROM {lines}),
         q AS (
             SELECT tag, quantile_cont(v - baseline, 0.1) AS lo, quantile_cont(v - baseline, 0.9) AS hi
             FROM p GROUP BY tag),
@@ -511,10 +532,41 @@ def _(t):
     return rounded(rounded(out, "value", digits=8), "baseline", "score")
 
 
-@query("series_flags_auto_season")
+@query(
+    "series_flags_auto_season",
+    sql(
+        "telemetry",
+        f"WITH {_grid('avg(value)')}, {_FILL}, {_flags('auto')} SELECT {_FLAG_COLUMNS} FROM d",
+    ),
+)
 def _(t):
     filled = series.make_series(t.telemetry, "avg", "1hour", empty="linear")
-    return rounded(series.decompose_anomalies(filled), "value", "baseline", "score")
+    return rounded(rounded(series.decompose_anomalies(filled), "value", digits=8), "baseline", "score")
+
+
+def _waves(step: str, width: str, hours: int) -> None:
+    """Seasons in the readings: each with a wave of so many hours on top."""
+    turn = f"2 * pi() * (CAST(epoch(ts) AS BIGINT) % {3600 * hours}) / {3600 * hours}"
+
+    @query(
+        f"series_flags_wave_{hours}h",
+        sql(
+            "telemetry",
+            f"WITH {_grid('avg(value)', width)}, {_FILL.replace('f AS (', 'f0 AS (')}, "
+            f"f AS (SELECT * REPLACE (v + 300 * cos({turn} + 0.1) AS v) FROM f0), {_flags('auto')} "
+            f"SELECT {_FLAG_COLUMNS}, coalesce(period, 0) AS period FROM d",
+        ),
+    )
+    def _(t):
+        filled = series.make_series(t.telemetry, "avg", step, empty="linear")
+        at = F.pmod(F.unix_seconds("timestamp"), F.lit(3600 * hours)) / F.lit(3600 * hours)
+        wave = filled.withColumn("value", F.col("value") + 300 * F.cos(at * 2 * F.pi() + 0.1))
+        flags = series.decompose_anomalies(wave, with_period=True)
+        return rounded(rounded(flags, "value", digits=8), "baseline", "score")
+
+
+_waves("1hour", "1 HOUR", 24)
+_waves("10min", "10 MINUTE", 75)  # 450 bins
 
 
 def _points(seasonality: str):
@@ -527,7 +579,8 @@ def _points(seasonality: str):
 
 
 # Hourly bins are what 30 days and at most 1000 bins give.
-_POINTS_SQL = f"""{_grid('avg(value)', where=_IN_RANGE)}, {_FILL}, {_flags(None)},
+def _points_sql(period: str | None) -> str:
+    return f"""{_grid('avg(value)', where=_IN_RANGE)}, {_FILL}, {_flags(period)},
         mv AS (
             SELECT tag, time_bucket(INTERVAL 1 HOUR, timestamp) AS ts, max(severity) AS m
             FROM explanations {_IN_RANGE}
@@ -546,14 +599,16 @@ _POINTS_SQL = f"""{_grid('avg(value)', where=_IN_RANGE)}, {_FILL}, {_flags(None)
             FROM d LEFT JOIN mv USING (tag, ts) LEFT JOIN tags USING (tag))"""
 
 
+_POINTS_SQL = _points_sql(None)
+_ROUNDED_POINTS = (
+    "SELECT * REPLACE (round(value, 8) AS value, round(anomaly, 8) AS anomaly, "
+    "round(individual_anomaly, 8) AS individual_anomaly, round(mvad_anomaly, 8) AS mvad_anomaly) FROM points"
+)
+
+
 @query(
     "series_with_anomalies",
-    sql(
-        "telemetry tags explanations",
-        f"WITH {_POINTS_SQL} SELECT * REPLACE (round(value, 8) AS value, "
-        "round(anomaly, 8) AS anomaly, round(individual_anomaly, 8) AS individual_anomaly, "
-        "round(mvad_anomaly, 8) AS mvad_anomaly) FROM points",
-    ),
+    sql("telemetry tags explanations", f"WITH {_POINTS_SQL} {_ROUNDED_POINTS}"),
 )
 def _(t):
     return rounded(
@@ -561,7 +616,10 @@ def _(t):
     )
 
 
-@query("series_with_anomalies_auto_season")
+@query(
+    "series_with_anomalies_auto_season",
+    sql("telemetry tags explanations", f"WITH {_points_sql('auto')} {_ROUNDED_POINTS}"),
+)
 def _(t):
     return rounded(
         _points("auto")(t), "value", "anomaly", "individual_anomaly", "mvad_anomaly", digits=8

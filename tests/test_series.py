@@ -216,6 +216,37 @@ def test_auto_season_finds_the_period(frame):
     assert [r for r in auto if r.tag == "wave"][100].flag == 1
 
 
+def by_lags(x, lags):
+    """Autocorrelation lag by lag."""
+    out = np.zeros(lags + 1)
+    for k in range(lags + 1):
+        a, b = x[: len(x) - k], x[k:]
+        scale = np.sqrt(np.dot(a, a) * np.dot(b, b))
+        out[k] = np.dot(a, b) / scale if scale > 0 else 0.0
+    return out
+
+
+def test_autocorrelation_of_all_lags_matches_products():
+    rng = np.random.default_rng(5)
+    spike = np.zeros(300)
+    spike[295], spike[:100] = 1e9, rng.normal(size=100)
+    for x in (rng.normal(size=1000), rng.normal(size=9), np.zeros(30), spike, 1e200 * rng.normal(size=50)):
+        last = len(x) // 3
+        if np.abs(x).max() > 1e100:
+            assert series.autocorrelation(x, last) == pytest.approx(by_lags(x / 1e200, last), abs=1e-9)
+        else:
+            assert series.autocorrelation(x, last) == pytest.approx(by_lags(x, last), abs=1e-9)
+
+
+@pytest.mark.parametrize("period", [3, 7, 24, 450, 499])
+def test_seasons_up_to_a_third_of_the_series(period):
+    rng = np.random.default_rng(6)
+    at = np.arange(1500)
+    assert series.season_of(10 * np.sin(2 * np.pi * at / period) + rng.normal(0, 0.05, 1500)) in (period - 1, period, period + 1)
+    assert series.season_of(rng.normal(size=1500)) == 0
+    assert series.season_of(at[:8] % 3.0) == 0
+
+
 # -- correlation and the flagship ---------------------------------------------------------------
 
 
