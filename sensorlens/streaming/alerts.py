@@ -8,14 +8,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorlens.functions import timing
 from sensorlens.operators.alerts import SUSTAINED_RULE, as_alerts
 from sensorlens.streaming.ingest import TOLERANCE, with_tolerance
 
 _OUTPUT = "asset string, run_start timestamp, timestamp timestamp, severity double"
-_STATE = "run_start long, last long, fired boolean, waiting_us array<long>, waiting array<double>"
+_RUN = "run_start long, last long, fired boolean"
+_WAITING_KEY, _WAITING = "end_ms long", "us array<long>, severity array<double>"
+# Fixed value: the store that keeps map entries and timers apart, so each is written for itself.
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _EMPTY = pd.DataFrame({"run_start": [], "us": [], "severity": []})
 
 
@@ -53,59 +56,83 @@ def advance_run(
     return hits, start, int(us[-1]), has_fired
 
 
-def sustained_alerts_stream(
-    stream: DataFrame,
-    threshold: float = 0.1,
-    period: str | int = "10min",
-    max_gap: str | int | None = None,
-    delay: str = TOLERANCE,
-) -> DataFrame:
-    """One alert per run that stays at or above the threshold for ``period``.
+class SustainedRuns(StatefulProcessor):
+    """The rule for one asset: the open run, and events that wait in buckets of time.
 
-    State per asset is the open run plus the events newer than the watermark, which wait until
-    the watermark passes them, so events are always judged in time order.
+    An event is written to its bucket only, and a new bucket sets a timer at its end. When the
+    watermark reaches it no event of the bucket can come any more: its events go to the rule in time
+    order, and the bucket is removed. Timers of an asset fire in order of time.
     """
-    length = timing.duration(period)
-    gap = None if max_gap is None else timing.duration(max_gap)
 
-    def step(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        run_start, last, fired, waiting_us, waiting = (
-            state.get if state.exists else (None, None, False, [], [])
-        )
-        times = [np.asarray(waiting_us, dtype="int64")]
-        levels = [np.asarray(waiting, dtype=float)]
-        if not state.hasTimedOut:
-            for frame in frames:
-                times.append(frame["us"].to_numpy("int64"))
-                levels.append(frame["severity"].to_numpy(float))
-        us, severity = np.concatenate(times), np.concatenate(levels)
+    def __init__(self, threshold: float, period: int, max_gap: int | None, bucket_ms: int):
+        self.rule = threshold, period, max_gap
+        self.bucket_ms = bucket_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", _RUN)
+        self.waiting = handle.getMapState("waiting", _WAITING_KEY, _WAITING)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            us, severity = frame["us"].to_numpy("int64"), frame["severity"].to_numpy(float)
+            ends = (us // (1000 * self.bucket_ms) + 1) * self.bucket_ms
+            for end in np.unique(ends).tolist():
+                mine = ends == end
+                times, levels = us[mine].tolist(), severity[mine].tolist()
+                if self.waiting.containsKey((end,)):
+                    known = self.waiting.getValue((end,))
+                    times, levels = [*known[0], *times], [*known[1], *levels]
+                else:
+                    self.handle.registerTimer(end)
+                self.waiting.updateValue((end,), (times, levels))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        times, levels = self.waiting.getValue((end,))
+        self.waiting.removeKey((end,))
+        us, severity = np.asarray(times, "int64"), np.asarray(levels, float)
         order = np.lexsort((severity, us))
-        us, severity = us[order], severity[order]
-
-        watermark_ms = state.getCurrentWatermarkMs()
-        ready = us <= watermark_ms * 1000
-        hits, run_start, last, fired = advance_run(
-            us[ready], severity[ready], threshold, length, gap, run_start, last, fired
-        )
-        us, severity = us[~ready], severity[~ready]
-        if run_start is None and not len(us):
-            state.remove()
-        else:
-            state.update((run_start, last, fired, us.tolist(), severity.tolist()))
-            if len(us):
-                state.setTimeoutTimestamp(max(int(us[0] // 1000) + 1, watermark_ms + 1))
+        before = self.run.get() if self.run.exists() else (None, None, False)
+        hits, run_start, last, fired = advance_run(us[order], severity[order], *self.rule, *before)
+        if run_start is not None:
+            self.run.update((run_start, last, fired))
+        elif self.run.exists():
+            self.run.clear()
         if len(hits):
             yield pd.DataFrame(
                 {
                     "asset": key[0],
-                    "run_start": pd.to_datetime(hits["run_start"], unit="us"),
-                    "timestamp": pd.to_datetime(hits["us"], unit="us"),
-                    "severity": hits["severity"],
+                    "run_start": pd.to_datetime(hits["run_start"], unit="us").to_numpy(),
+                    "timestamp": pd.to_datetime(hits["us"], unit="us").to_numpy(),
+                    "severity": hits["severity"].to_numpy(),
                 }
             )
 
+    def close(self) -> None:
+        pass
+
+
+def sustained_alerts_stream(
+    stream: DataFrame,
+    threshold: float = 0.1,
+    period: str | int = "10min",
+    max_gap: str | int | None = None,
+    delay: str = TOLERANCE,
+    bucket: str | int = "10s",
+) -> DataFrame:
+    """One alert per run that stays at or above the threshold for ``period``.
+
+    Events wait until the watermark passes their ``bucket`` of time, so they are judged in time
+    order. A batch writes the buckets of its own events and no others. The session keeps the state
+    of streams started from now on in RocksDB, which this needs.
+    """
+    width = timing.duration(bucket)
+    if width < 1000 or width % 1000:
+        raise ValueError("a bucket is a whole number of milliseconds")
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    gap = None if max_gap is None else timing.duration(max_gap)
     # Null severities break a run, as they do in the batch form.
     events = with_tolerance(stream, delay).select(
         "asset",
@@ -113,7 +140,6 @@ def sustained_alerts_stream(
         F.unix_micros("timestamp").alias("us"),
         F.coalesce("severity", F.lit(float("-inf"))).alias("severity"),
     )
-    runs = events.groupBy("asset").applyInPandasWithState(
-        step, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    rule = SustainedRuns(threshold, timing.duration(period), gap, width // 1000)
+    runs = events.groupBy("asset").transformWithStateInPandas(rule, _OUTPUT, "append", "eventTime")
     return as_alerts(runs, SUSTAINED_RULE)

@@ -113,6 +113,25 @@ def test_restart_continues_from_the_checkpoint(spark, folder):
     assert [r.timestamp.minute for r in out.collect()] == [10]
 
 
+def test_a_batch_writes_the_state_of_its_own_events(spark, folder):
+    """However many events wait, a batch of two writes two buckets."""
+    write(folder, 1, [("A", f"{h:02}:{m:02}:{s:02}", 0.2) for h in range(2) for m in range(60) for s in (0, 15, 30, 45)])
+    write(folder, 2, [("A", "02:00:00", 0.2), ("A", "00:30:05", 0.01)])
+    write(folder, 3, [("B", "02:00:20", 0.2)])
+    stream = sustained_alerts_stream(source(spark, folder), delay="5 hours")
+    run = streams.write_stream(stream, f"{folder}/out", f"{folder}/checkpoint")
+    run.awaitTermination()
+    states = [p["stateOperators"][0] for p in run.recentProgress if p["numInputRows"] > 0]
+    updated = [state["numRowsUpdated"] for state in states]
+    assert len(updated) == 3 and updated[0] >= 480 and max(updated[1:]) <= 12
+    # The rest is done after a restart, when time has passed.
+    write(folder, 4, [CLOSING])
+    out = drain(spark, sustained_alerts_stream(source(spark, folder), delay="5 hours"), folder)
+    assert [(r.asset, r.timestamp.strftime("%H:%M:%S")) for r in out.orderBy("timestamp").collect()] == [
+        ("A", "00:10:00"), ("A", "00:40:15"),
+    ]
+
+
 def test_fan_out_repeats_nothing(spark, folder):
     write(folder, 1, minutes((1, 0.5), (2, 0.1)))
     write(folder, 2, minutes((3, 0.3)))
