@@ -329,6 +329,41 @@ def _shares(judged: DataFrame) -> DataFrame:
     )
 
 
+# Share of a block's squares below which a difference of running sums is no longer trusted.
+_CANCELLED = 1e-7
+
+
+def trailing_correlations(z: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[np.ndarray]:
+    """Correlation matrices of the rows ``first`` up to, but without, ``last`` of each window; NaN
+    where a column is constant in it.
+
+    Rows are multiplied once, between the windows' ends, and running sums taken there, so a window
+    costs one difference however long it is. Columns are centred on the whole block first. Where a
+    window's squares are next to nothing beside the running sums, its own rows are multiplied.
+    """
+    z = z - z.mean(axis=0)
+    edges = np.unique(np.concatenate((first, last)))
+    d = z.shape[1]
+    sums, products = np.zeros((len(edges), d)), np.zeros((len(edges), d, d))
+    for k in range(1, len(edges)):
+        part = z[edges[k - 1] : edges[k]]
+        sums[k] = sums[k - 1] + part.sum(axis=0)
+        products[k] = products[k - 1] + part.T @ part
+    total = np.diagonal(products[-1]) if len(edges) else np.zeros(d)
+    for a, b in zip(first.tolist(), last.tolist()):
+        i, j = np.searchsorted(edges, (a, b))
+        moved = sums[j] - sums[i]
+        product = products[j] - products[i] - np.outer(moved, moved) / (b - a)
+        if (np.diagonal(product) <= _CANCELLED * total).any():
+            part = z[a:b] - z[a:b].mean(axis=0)
+            constant = (z[a:b] == z[a]).all(axis=0)
+            part[:, constant] = 0.0
+            product = part.T @ part
+        size = np.sqrt(np.diagonal(product))
+        scale = np.outer(size, size)
+        yield np.divide(product, scale, out=np.full_like(product, np.nan), where=scale > 0)
+
+
 def window_correlations(
     targets: DataFrame, vecs: DataFrame, step: str | int, window: int = SLIDING_WINDOW
 ) -> DataFrame:
@@ -362,15 +397,11 @@ def window_correlations(
         at = frame["_number"].to_numpy()
         z = np.stack(frame["z"].to_list())
         places = np.flatnonzero(frame["_target"].to_numpy())
-        out = []
-        for place in places:
-            first = np.searchsorted(at, at[place] - window + 1)
-            part = z[first : place + 1] - z[first : place + 1].mean(axis=0)
-            size = np.sqrt((part * part).sum(axis=0))
-            scale = np.outer(size, size)
-            product = part.T @ part
-            r = np.divide(product, scale, out=np.full_like(product, np.nan), where=scale > 0)
-            out.append([None if np.isnan(v) else v for v in r.ravel().tolist()])
+        first = np.searchsorted(at, at[places] - window + 1)
+        out = [
+            [None if np.isnan(v) else v for v in r.ravel().tolist()]
+            for r in trailing_correlations(z, first, places + 1)
+        ]
         hit = frame.iloc[places]
         return pd.DataFrame(
             {"asset": hit["asset"], "timestamp": hit["timestamp"], "window_correlation": out}

@@ -11,7 +11,7 @@ from sensorlens.functions import timing
 from sensorlens.operators import fitdays, mvad
 from sensorlens.plans.fixtures import CUTOFF, START, sql
 from sensorlens.plans.registry import query, rounded
-from sensorlens.sources import files
+from sensorlens.sources import files, schemas
 
 STEP = "1min"
 # The readings' own split: the first three fifths of their time train the detector.
@@ -118,24 +118,140 @@ def _full(t):
     return mvad.vectors(frames, model), model
 
 
-@query("mvad_score")
+# The full mode on five sensors: Cholesky factor of the correlations, written out column by column,
+# then forward and back substitution for each bin.
+_D = range(1, 6)
+
+
+def _factor() -> str:
+    """Views that end in ``g5``: columns l11 to l55 of each asset's factor."""
+    cells = ", ".join(
+        f"{mvad.RIDGE}::DOUBLE + 1 AS a{i}{j}" if i == j
+        else f"coalesce(sum(z{i} * z{j}) / nullif(sqrt(sum(z{i} * z{i}) * sum(z{j} * z{j})), 0), 0) AS a{i}{j}"
+        for i in _D for j in _D if j <= i
+    )
+    views = [f"g0 AS (SELECT asset, {cells} FROM w WHERE timestamp < TIMESTAMP '{CUTOFF}' GROUP BY asset)"]
+    for j in _D:
+        past = "".join(f" - l{j}{k} * l{j}{k}" for k in range(1, j))
+        views.append(f"h{j} AS (SELECT *, sqrt(a{j}{j}{past}) AS l{j}{j} FROM g{j - 1})")
+        below = "".join(
+            f", (a{i}{j}" + "".join(f" - l{i}{k} * l{j}{k}" for k in range(1, j)) + f") / l{j}{j} AS l{i}{j}"
+            for i in _D if i > j
+        )
+        views.append(f"g{j} AS (SELECT *{below} FROM h{j})")
+    return ", ".join(views)
+
+
+def _solved() -> str:
+    """Views that end in ``t``: each bin's z1 to z5, x1 to x5 (the inverse times z) and score."""
+    views = ["y0 AS (SELECT * FROM w JOIN g5 USING (asset))"]
+    for i in _D:
+        past = "".join(f" - l{i}{k} * y{k}" for k in range(1, i))
+        views.append(f"y{i} AS (SELECT *, (z{i}{past}) / l{i}{i} AS y{i} FROM y{i - 1})")
+    views.append("x6 AS (SELECT * FROM y5)")
+    for i in reversed(_D):
+        past = "".join(f" - l{k}{i} * x{k}" for k in _D if k > i)
+        views.append(f"x{i} AS (SELECT *, (y{i}{past}) / l{i}{i} AS x{i} FROM x{i + 1})")
+    total = " + ".join(f"z{i} * x{i}" for i in _D)
+    views.append(f"t AS (SELECT *, ({total}) / 5 AS score FROM x1)")
+    return ", ".join(views)
+
+
+_WIDE = ", ".join(f"sum(CASE WHEN ordinal = {i} THEN z ELSE 0 END) AS z{i}" for i in _D)
+_FULL = f"""
+    hours AS (
+        SELECT asset, ordinal, features.tag, time_bucket(INTERVAL 1 HOUR, timestamp) AS timestamp, avg(value) AS v
+        FROM telemetry JOIN features USING (tag) GROUP BY ALL),
+    mm AS (SELECT tag, avg(v) AS mean, stddev_samp(v) AS sd FROM hours WHERE timestamp < TIMESTAMP '{CUTOFF}' GROUP BY tag),
+    zz AS (SELECT asset, ordinal, hours.tag, timestamp, coalesce((v - mean) / nullif(sd, 0), 0) AS z FROM hours JOIN mm USING (tag)),
+    w AS (SELECT asset, timestamp, {_WIDE}, CAST(5 - count(*) AS INTEGER) AS missing FROM zz GROUP BY ALL),
+    {_factor()}, {_solved()},
+    lim AS (SELECT asset, quantile_disc(score, 0.99) AS threshold FROM t WHERE timestamp < TIMESTAMP '{CUTOFF}' GROUP BY asset),
+    s AS (SELECT t.*, score > threshold AS is_anomaly,
+        CASE WHEN score > threshold THEN 1 - threshold / score ELSE 0 END AS severity FROM t JOIN lim USING (asset))
+"""
+_PAIRS_OF_FIVE = [(i, j) for i in _D for j in _D if i < j]
+_TOLD = f"""
+    {_FULL.strip()},
+    tags5 AS (SELECT asset, ordinal, tag FROM features),
+    trained AS (SELECT asset, unnest([{", ".join(str(i) for i, _ in _PAIRS_OF_FIVE)}]) AS i,
+        unnest([{", ".join(str(j) for _, j in _PAIRS_OF_FIVE)}]) AS j, unnest([{", ".join(f"a{j}{i}" for i, j in _PAIRS_OF_FIVE)}]) AS r FROM g0),
+    near AS (SELECT s.asset, s.timestamp, {", ".join(f"corr(w.z{i}, w.z{j}) AS r{i}{j}" for i, j in _PAIRS_OF_FIVE)}
+        FROM s JOIN w ON w.asset = s.asset AND w.timestamp BETWEEN s.timestamp - INTERVAL 47 HOUR AND s.timestamp
+        WHERE is_anomaly GROUP BY ALL),
+    moved AS (SELECT asset, timestamp, unnest([{", ".join(str(i) for i, _ in _PAIRS_OF_FIVE)}]) AS i,
+        unnest([{", ".join(str(j) for _, j in _PAIRS_OF_FIVE)}]) AS j, unnest([{", ".join(f"r{i}{j}" for i, j in _PAIRS_OF_FIVE)}]) AS now FROM near),
+    change AS (SELECT asset, timestamp, i, j, abs(now - r) AS change FROM moved JOIN trained USING (asset, i, j) WHERE NOT isnan(now)),
+    both_ways AS (SELECT asset, timestamp, i AS ordinal, j AS other, change FROM change
+        UNION ALL SELECT asset, timestamp, j, i, change FROM change),
+    ranked AS (SELECT b.asset, timestamp, b.ordinal, list(o.tag ORDER BY change DESC, o.tag) AS changed_variables,
+        list(round(change, 6) ORDER BY change DESC, o.tag) AS changed_values
+        FROM both_ways b JOIN tags5 o ON o.asset = b.asset AND o.ordinal = b.other GROUP BY ALL),
+    shares AS (SELECT asset, timestamp, score, severity, is_anomaly, unnest([1, 2, 3, 4, 5]) AS ordinal,
+        unnest([{", ".join(f"greatest(z{i} * x{i}, 0)" for i in _D)}]) AS part,
+        {" + ".join(f"greatest(z{i} * x{i}, 0)" for i in _D)} AS whole FROM s WHERE is_anomaly),
+    told AS (SELECT asset, timestamp, score, severity, is_anomaly, tag, part / whole AS contribution_score,
+        coalesce(changed_variables, []) AS changed_variables, coalesce(changed_values, []) AS changed_values
+        FROM shares JOIN tags5 USING (asset, ordinal) LEFT JOIN ranked USING (asset, timestamp, ordinal))
+"""
+
+
+@query(
+    "mvad_score",
+    sql(
+        "telemetry features",
+        f"WITH {_FULL.strip()} SELECT asset, timestamp, round(score, 6) AS score, "
+        "round(severity, 6) AS severity, is_anomaly, missing FROM s",
+    ),
+)
 def _(t):
     return rounded(mvad.mvad_score(*_full(t)), "score", "severity")
 
 
-@query("mvad_explain")
+@query(
+    "mvad_explain",
+    sql(
+        "telemetry features",
+        f"WITH {_TOLD.strip()} SELECT asset, timestamp, round(score, 6) AS score, round(severity, 6) AS severity, "
+        "is_anomaly, tag, round(contribution_score, 6) AS contribution_score, changed_variables, changed_values FROM told",
+    ),
+)
 def _(t):
     vecs, model = _full(t)
-    out = mvad.mvad_explain(vecs, model, "1hour", window=48)
-    return rounded(out, "score", "severity", "contribution_score")
+    out = mvad.mvad_explain(vecs, model, "1hour", window=48).select("*", "correlation_changes.*")
+    out = out.withColumn("changed_values", F.transform("changed_values", lambda v: F.round(v, 6)))
+    return rounded(out.drop("correlation_changes"), "score", "severity", "contribution_score")
 
 
-@query("mvad_new_anomalies")
+@query(
+    "mvad_new_anomalies",
+    sql(
+        "telemetry features anomalies",
+        f"""
+        WITH {_TOLD.strip()},
+        stored AS (SELECT asset, max(timestamp) AS newest FROM anomalies WHERE timestamp < TIMESTAMP '{CUTOFF}' GROUP BY asset),
+        texts AS (SELECT asset, timestamp, list(tag ORDER BY tag) AS tags,
+            list(round(contribution_score, 6) ORDER BY tag) AS contributions,
+            list(changed_values ORDER BY tag) AS changes FROM told GROUP BY ALL)
+        SELECT CAST(is_anomaly AS BIGINT) AS is_anomaly, s.asset, s.timestamp, round(score, 6) AS score,
+            round(severity, 6) AS severity, tags, contributions, changes
+        FROM s LEFT JOIN stored USING (asset) LEFT JOIN texts USING (asset, timestamp)
+        WHERE newest IS NULL OR s.timestamp > newest
+        """,
+    ),
+)
 def _(t):
     _, model = _full(t)
     stored = t.anomalies.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp"))
     out = mvad.mvad_new_anomalies(t.telemetry, t.features, model, stored, "1hour", window=48)
-    return rounded(out.drop("interpretation"), "score", "severity")
+    # The interpretation's text, read back.
+    told = out.withColumn("told", F.from_json("interpretation", schemas.INTERPRETATION)).select(
+        "is_anomaly", "asset", "timestamp", "score", "severity",
+        F.col("told.tag").alias("tags"),
+        F.transform("told.contribution_score", lambda v: F.round(v, 6)).alias("contributions"),
+        F.transform("told", lambda p: F.transform(p["correlation_changes"]["changed_values"], lambda v: F.round(v, 6))).alias("changes"),
+    )
+    return rounded(told, "score", "severity")
 
 
 @query(

@@ -184,3 +184,26 @@ def test_wide_assets_use_several_slabs(frame, spark, monkeypatch):
     model = mvad.mvad_fit(frames, features, "2024-02-01", mode="diagonal")
     got = {(r.asset, r.timestamp.minute): (len(r.z), r.missing) for r in mvad.vectors(frames, model).collect()}
     assert got == {("N", 0): (1, 0), **{("W", t): (11, int(t == 2)) for t in range(6)}}
+
+
+def test_running_sums_equal_products_of_each_window():
+    rng = np.random.default_rng(9)
+    z = rng.normal(size=(500, 6)) + 40.0
+    z[:, 1] = z[:, 0] * 2 + rng.normal(size=500) * 0.01
+    z[100:260, 2] = 3.25  # constant in some windows
+    z[:, 3] = -1.0
+    z[300:, 4] *= 1e6  # little varies before, beside what comes
+    last = np.sort(rng.choice(np.arange(1, 501), 120, replace=False))
+    for window in (1, 2, 48, 280):
+        first = np.maximum(last - window, 0)
+        for a, b, got in zip(first, last, mvad.trailing_correlations(z, first, last)):
+            part = z[a:b] - z[a:b].mean(axis=0)
+            still = (z[a:b] == z[a]).all(axis=0)
+            part[:, still] = 0
+            size = np.sqrt((part * part).sum(axis=0))
+            with np.errstate(invalid="ignore"):
+                want = part.T @ part / np.outer(size, size)
+            assert np.isnan(got[:, still]).all() and np.isnan(got[still]).all()
+            live = ~still
+            np.testing.assert_allclose(got[np.ix_(live, live)], want[np.ix_(live, live)], atol=1e-7)
+    assert list(mvad.trailing_correlations(z, last[:0], last[:0])) == []
