@@ -43,7 +43,7 @@ def _(t):
 
 
 def _routes(t):
-    """One route document per event, of three points."""
+    """One route document per event, of three points, in files that hold an array of documents."""
     value = F.col("value")
     points = F.array(
         *[
@@ -59,9 +59,10 @@ def _routes(t):
         F.lit(0).alias("current_point"),
     )
     path = session.scratch_dir(t.spark, "routes")
-    documents.write.json(path)
-    # Our files hold one document per line, so they may be split; multiLine is for array files.
-    return t.spark.read.schema(schemas.ROUTES).json(path)
+    part = F.floor(F.col("route_id").cast("bigint") / 1000)
+    arrays = documents.groupBy(part.alias("part")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_routes(t.spark, path)
 
 
 @query(
