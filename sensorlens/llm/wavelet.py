@@ -18,13 +18,18 @@ def build(tokens: np.ndarray, width: int) -> tuple[bytes, bytes, list[int]]:
     if len(tokens) and int(tokens.max()) >> width:
         raise ValueError(f"token {int(tokens.max())} needs more than {width} bits")
     planes, ranks, zeros = [], [], []
+    tokens = tokens.astype(np.uint16 if width <= 16 else np.uint32)
+    n, strides = len(tokens), -(-len(tokens) // STRIDE)
     for shift in range(width - 1, -1, -1):
-        bits = ((tokens >> shift) & 1).astype(bool)
-        planes.append(np.packbits(bits, bitorder="little").tobytes())
-        per_stride = np.add.reduceat(bits, np.arange(0, len(bits), STRIDE), dtype=np.int64) if len(bits) else np.zeros(0, np.int64)
+        bits = (tokens & tokens.dtype.type(1 << shift)) != 0
+        plane = np.packbits(bits, bitorder="little")
+        planes.append(plane.tobytes())
+        whole = np.zeros(strides * STRIDE // 8, np.uint8)
+        whole[: len(plane)] = plane
+        per_stride = np.bitwise_count(whole.view(np.uint64)).reshape(strides, -1).sum(axis=1, dtype=np.int64)
         ranks.append(np.concatenate(([0], np.cumsum(per_stride))).astype("<u4").tobytes())
         tokens = np.concatenate((tokens[~bits], tokens[bits]))
-        zeros.append(int(len(bits) - bits.sum()))
+        zeros.append(n - int(per_stride.sum()))
     return b"".join(planes), b"".join(ranks), zeros
 
 
@@ -97,11 +102,11 @@ class Wavelet:
 
     def tokens(self) -> np.ndarray:
         """All tokens in order: the planes undone from the last to the first."""
-        out = np.zeros(self.n, np.uint32)
+        out = np.zeros(self.n, np.uint16 if self.width <= 16 else np.uint32)
         for plane in range(self.width - 1, -1, -1):
             bits = self.bits(plane)
             before = np.empty_like(out)
             before[~bits] = out[: self.zeros[plane]]
-            before[bits] = out[self.zeros[plane] :] | np.uint32(1 << (self.width - 1 - plane))
+            before[bits] = out[self.zeros[plane] :] | out.dtype.type(1 << (self.width - 1 - plane))
             out = before
-        return out
+        return out.astype(np.uint32)
