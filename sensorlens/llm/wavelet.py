@@ -26,7 +26,7 @@ def build(tokens: np.ndarray, width: int) -> tuple[bytes, bytes, list[int]]:
         planes.append(plane.tobytes())
         whole = np.zeros(strides * STRIDE // 8, np.uint8)
         whole[: len(plane)] = plane
-        per_stride = np.bitwise_count(whole.view(np.uint64)).reshape(strides, -1).sum(axis=1, dtype=np.int64)
+        per_stride = np.bitwise_count(whole.view(np.uint64)).reshape(strides, STRIDE // 64).sum(axis=1, dtype=np.int64)
         ranks.append(np.concatenate(([0], np.cumsum(per_stride))).astype("<u4").tobytes())
         tokens = np.concatenate((tokens[~bits], tokens[bits]))
         zeros.append(n - int(per_stride.sum()))
