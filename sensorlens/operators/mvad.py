@@ -457,9 +457,10 @@ def mvad_explain(
     )
 
 
-def register_model(df: DataFrame, path: str) -> None:
-    """Appends ``asset, model_uri, sliding_window, effective_date`` rows to the model table."""
-    append_table(df.select("asset", "model_uri", "sliding_window", "effective_date"), path)
+def register_model(df: DataFrame, path: str, batch: str | int | None = None) -> None:
+    """Appends ``asset, model_uri, sliding_window, effective_date`` rows to the model table; a
+    training that names its ``batch`` may be registered again."""
+    append_table(df.select("asset", "model_uri", "sliding_window", "effective_date"), path, batch=batch)
 
 
 def pick_model(models: DataFrame, at: Moment) -> DataFrame:

@@ -305,6 +305,18 @@ def _(t):
     return mvad.pick_model(t.spark.read.parquet(path), "2024-02-01 00:00:00")
 
 
+@query(
+    "model_registry_retried",
+    sql("models", "SELECT asset, model_uri, sliding_window, effective_date FROM models"),
+)
+def _(t):
+    path = session.scratch_dir(t.spark, "models")
+    for day in ("2024-01-05", "2024-01-15", "2024-01-15", "2024-01-25", "2024-01-05"):
+        trained = t.models.filter(F.to_date("effective_date") == F.lit(day))
+        mvad.register_model(trained, path, batch=day)
+    return t.spark.read.schema(f"{schemas.MODELS}, batch string").parquet(path).drop("batch")
+
+
 @query(
     "new_anomalies",
     sql(

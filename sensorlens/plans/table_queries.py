@@ -28,6 +28,18 @@ def _(t):
     return files.read_telemetry(t.spark, path)
 
 
+@query("telemetry_table_retried", sql("telemetry", "SELECT timestamp, tag, value FROM telemetry"))
+def _(t):
+    path = session.scratch_dir(t.spark, "telemetry")
+    late = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
+    files.append_telemetry(t.telemetry.filter(~late), path, 4, batch="2024-01-a")
+    # A first try that wrote a part, and the whole append twice.
+    files.append_telemetry(t.telemetry.filter(late & (F.col("value") > 0)), path, 4, batch="2024-01-b")
+    for _ in range(2):
+        files.append_telemetry(t.telemetry.filter(late), path, 4, batch="2024-01-b")
+    return files.read_telemetry(t.spark, path)
+
+
 @query(
     "telemetry_table_range",
     sql(

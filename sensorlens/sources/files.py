@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlens.functions import timing
@@ -36,30 +37,49 @@ def read_telemetry(
     return in_range(table, start, end).select("timestamp", "tag", "value")
 
 
-def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Adds rows to a parquet table, creating it if absent."""
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def append_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), batch: str | int | None = None
+) -> None:
+    """Adds rows to a parquet table, creating it if absent.
+
+    With a ``batch`` the rows go into a folder of that name, which replaces what an earlier try of
+    the batch left there, be it whole or in part: an append that is run again adds nothing twice.
+    All appends to a table name their batch (and the table has a column ``batch``), or none does.
+    """
+    if batch is None:
+        _write(df.write.mode("append"), path, partition_by)
+    else:
+        _write(df.write.mode("overwrite").option("partitionOverwriteMode", "static"), _batch(path, batch), partition_by)
+
+
+def _write(writer: DataFrameWriter, path: str, partition_by: Sequence[str]) -> None:
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def _batch(path: str, batch: str | int) -> str:
+    name = str(batch)
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", name):
+        raise ValueError(f"not a batch name: {batch!r}")
+    return f"{path}/batch={name}"
 
 
-def append_telemetry(df: DataFrame, path: str, files_per_date: int = 32) -> None:
-    """Appends readings as ``date=`` folders, sorted by tag and time inside the files.
+def append_telemetry(
+    df: DataFrame, path: str, files_per_date: int = 32, batch: str | int | None = None
+) -> None:
+    """Appends readings as ``date=`` folders, sorted by tag and time inside the files; with a
+    ``batch``, so that the append may be run again, as :func:`append_table` says.
 
     Rows are spread over (date, hash of tag and hour): a busy tag or day is shared by many
     tasks, and each folder gets at most ``files_per_date`` files per append.
     """
     spread = F.pmod(F.xxhash64("tag", F.date_trunc("hour", "timestamp")), F.lit(files_per_date))
     dated = df.withColumn("date", F.to_date("timestamp")).withColumn("_spread", spread)
-    (
+    spread_out = (
         dated.repartition("date", "_spread")
         .sortWithinPartitions("date", "tag", "timestamp")
         .drop("_spread")
-        .write.mode("append")
-        .partitionBy("date")
-        .parquet(path)
     )
+    append_table(spread_out, path, ["date"], batch)
 
 
 def read_routes(spark: SparkSession, path: str) -> DataFrame:
