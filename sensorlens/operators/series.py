@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -20,6 +21,7 @@ from sensorlens.functions import text, timing
 from sensorlens.functions.aggregates import numeric_agg
 from sensorlens.operators.ordering import explode_span
 from sensorlens.operators.ranges import Moment, check_order, for_tags, in_range, range_step
+from sensorlens.session import hold
 
 EMPTY_BINS = ("null", "zero", "linear")
 TAG = ("tag",)
@@ -310,6 +312,16 @@ def series_stats(
     )
 
 
+# Tags of a block, at most, and bytes of their series.
+_BLOCK_TAGS = 256
+_BLOCK_BYTES = 32 << 20
+
+
+def block_count(tags: int, bins: int) -> int:
+    """Blocks for so many series of so many bins: two of them fit a task, whatever the number."""
+    return max(1, -(-tags // max(1, min(_BLOCK_TAGS, _BLOCK_BYTES // (8 * max(bins, 1))))))
+
+
 def correlation_matrix(
     df: DataFrame,
     start: Moment,
@@ -317,13 +329,13 @@ def correlation_matrix(
     step: str | int,
     tags: str | Sequence[str] | DataFrame | None = None,
     agg: str = "avg",
-    blocks: int = 8,
+    blocks: int | None = None,
 ) -> DataFrame:
-    """Pearson correlation of every pair of tags ``tag <= tag1`` on a shared, filled axis.
+    """Pearson correlation of every pair of tags ``tag <= tag1`` on a shared, filled axis; null for
+    a constant series.
 
-    Each series becomes one standardised array. Tags are hashed into ``blocks`` and a pair of
-    blocks is the join key, so each pair meets in exactly one of blocks x blocks groups and
-    only the pairs of the result are ever built.
+    Each series becomes one standardised array, held as a table. Their number sets the number of
+    blocks they are hashed into (if it isn't given), and each two blocks are one dense product.
     """
     series = make_series(for_tags(df, tags), agg, step, TAG, "linear", start, end)
     key = Window.partitionBy("tag")
@@ -331,38 +343,57 @@ def correlation_matrix(
         F.col("value") - F.avg("value").over(key), F.stddev_pop("value").over(key)
     )
     vectors = (
-        series.withColumn("_z", standard)
+        series.withColumn("_z", F.coalesce(standard, F.lit(float("nan"))))
         .groupBy("tag")
         .agg(F.array_sort(F.collect_list(F.struct("idx", "_z"))).alias("_points"))
-        .select(
-            "tag",
-            F.col("_points._z").alias("_z"),
-            F.pmod(F.xxhash64("tag"), F.lit(blocks).cast("bigint")).alias("_block"),
-        )
+        .select("tag", F.col("_points._z").alias("_z"))
     )
+    vectors = hold(vectors, "series-vectors")
+    if blocks is None:
+        bins = vectors.agg(F.count("*"), F.max(F.size("_z"))).first()
+        blocks = block_count(bins[0], bins[1] or 1)
     return tag_pairs(vectors, blocks).select(
-        "tag",
-        "tag1",
-        F.try_divide(
-            F.aggregate(
-                F.zip_with("_z", "_z1", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x
-            ),
-            F.size("_z").cast("double"),
-        ).alias("correlation_coefficient"),
+        "tag", "tag1", F.nanvl("product", F.lit(None).cast("double")).alias("correlation_coefficient")
+    )
+
+
+def _products(table: pa.Table) -> pa.Table:
+    """Mean products of all pairs across two blocks, or within one."""
+    names = table.column("tag").to_numpy(zero_copy_only=False)
+    z = table.column("_z").combine_chunks()
+    z = z.flatten().to_numpy(zero_copy_only=False).reshape(len(names), -1)
+    mine = table.column("_mine").to_numpy(zero_copy_only=False)
+    one = np.flatnonzero(mine)
+    two = one if table.column("_row")[0] == table.column("_column")[0] else np.flatnonzero(~mine)
+    product = z[one] @ z[two].T / z.shape[1]
+    a, b = np.repeat(names[one], len(two)), np.tile(names[two], len(one))
+    if two is one:
+        keep = a <= b
+        a, b, product = a[keep], b[keep], product.ravel()[keep]
+    turned = a > b
+    columns = [np.where(turned, b, a), np.where(turned, a, b), product.ravel()]
+    return pa.table(
+        [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64())],
+        names=["tag", "tag1", "product"],
     )
 
 
 def tag_pairs(vectors: DataFrame, blocks: int) -> DataFrame:
-    """All pairs ``tag <= tag1`` of rows with ``tag``, ``_z`` and ``_block``."""
-    others = F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))
-    left = vectors.select("tag", "_z", F.col("_block").alias("_row"), others.alias("_column"))
-    right = vectors.select(
-        F.col("tag").alias("tag1"),
-        F.col("_z").alias("_z1"),
-        others.alias("_row"),
-        F.col("_block").alias("_column"),
+    """``tag``, ``tag1``, ``product``: all pairs ``tag <= tag1`` of rows with ``tag`` and ``_z``
+    (arrays of one length), with the mean of the products of their elements.
+
+    A row goes once to each pair of blocks that its own is in, so a pair of tags meets once.
+    """
+    block = F.pmod(F.xxhash64("tag"), F.lit(blocks).cast("bigint"))
+    dealt = vectors.select("tag", "_z", block.alias("_block")).withColumn(
+        "_other", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))
+    )
+    dealt = dealt.select(
+        "tag", "_z",
+        F.least("_block", "_other").alias("_row"), F.greatest("_block", "_other").alias("_column"),
+        (F.col("_block") <= F.col("_other")).alias("_mine"),
     )
-    return left.join(right, ["_row", "_column"]).filter(F.col("tag") <= F.col("tag1"))
+    return dealt.groupBy("_row", "_column").applyInArrow(_products, "tag string, tag1 string, product double")
 
 
 def mv_severity_by_bin(

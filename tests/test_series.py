@@ -250,6 +250,26 @@ def test_seasons_up_to_a_third_of_the_series(period):
 # -- correlation and the flagship ---------------------------------------------------------------
 
 
+def test_blocks_stay_small_however_many_tags():
+    assert [series.block_count(n, 720) for n in (0, 1, 256, 257, 10_000)] == [1, 1, 1, 2, 40]
+    assert series.block_count(100, 1_000_000) == 25  # long series share a block with fewer
+    assert series.block_count(3, 1 << 30) == 3
+
+
+@pytest.mark.parametrize("blocks", [None, 1, 2, 7])
+def test_blocks_hold_every_pair_once(spark, monkeypatch, blocks):
+    monkeypatch.setattr(series, "_BLOCK_TAGS", 5)
+    rng = np.random.default_rng(4)
+    rows = [(f"t{k:02}", rng.normal(size=12).tolist()) for k in range(23)]
+    vectors = spark.createDataFrame(rows, "tag string, _z array<double>")
+    got = series.tag_pairs(vectors, blocks or series.block_count(23, 12)).collect()
+    assert len(got) == 23 * 24 // 2 and all(r.tag <= r.tag1 for r in got)
+    known = dict(rows)
+    for r in got:
+        assert r["product"] == pytest.approx(np.dot(known[r.tag], known[r.tag1]) / 12)
+    assert series.tag_pairs(vectors.limit(0), 3).count() == 0
+
+
 def test_correlation_against_numpy(frame):
     rng = np.random.default_rng(3)
     start = datetime(2024, 1, 1)
