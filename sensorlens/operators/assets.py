@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlens.functions import text
+from sensorlens.operators.ordering import time_chunk
 from sensorlens.operators.ranges import Moment, for_asset, in_range, only_anomalies
 
+_MODEL = "struct<effective_date: timestamp, model_uri: string, sliding_window: int>"
 MAP_COLUMNS = ("AssetID", "AssetType", "Manufacturer", "Model", "Latitude", "Longitude")
 
 
@@ -34,11 +36,12 @@ def enrich_stream(stream: DataFrame, assets: DataFrame) -> DataFrame:
     return stream.join(assets.withColumnRenamed("AssetID", "asset"), "asset", "left")
 
 
-def model_asof(models: DataFrame, at: Moment | DataFrame) -> DataFrame:
+def model_asof(models: DataFrame, at: Moment | DataFrame, chunk: str | int = "1day") -> DataFrame:
     """The model in force: newest ``effective_date`` not after the moment, ties to the larger uri.
 
     ``at`` is a moment (one row per asset), or a table with ``asset`` and ``timestamp``, for which
-    each of its rows gets the model of its asset at that time.
+    each of its rows gets the model of its asset at that time; nulls where there is none, or where
+    asset or time is null.
     """
     newest = F.struct("effective_date", "model_uri", "sliding_window")
     if not isinstance(at, DataFrame):
@@ -48,14 +51,30 @@ def model_asof(models: DataFrame, at: Moment | DataFrame) -> DataFrame:
             .agg(F.max(newest).alias("_model"))
             .select("asset", "_model.model_uri", "_model.sliding_window", "_model.effective_date")
         )
-    # An asset has few models: keep them as one sorted array and look the moment up in it, so
-    # the wide side is joined once on the asset and never multiplied by the models.
-    history = models.groupBy("asset").agg(F.array_sort(F.collect_set(newest)).alias("_history"))
-    known = F.filter("_history", lambda m: m["effective_date"] <= F.col("timestamp"))
-    return (
-        at.join(history, "asset", "left")
-        .withColumn("_model", F.try_element_at(known, F.lit(-1)))
-        .select(*at.columns, "_model.model_uri", "_model.sliding_window", "_model.effective_date")
+    # Both tables as one, in order of time, models first: the last model is carried over the rows
+    # behind it within a chunk of time, and from chunk to chunk over one summary for each.
+    nothing = F.lit(None).cast(_MODEL)
+    fields = F.struct(*[F.col(c) for c in at.columns])
+    events = at.select("asset", F.col("timestamp").alias("_at"), F.lit(1).alias("_side"), nothing.alias("_model"), fields.alias("_row"))
+    known = models.filter(F.col("asset").isNotNull() & F.col("effective_date").isNotNull()).select(
+        "asset", F.col("effective_date").alias("_at"), F.lit(0).alias("_side"),
+        newest.cast(_MODEL).alias("_model"),
+    )
+    both = events.unionByName(known, allowMissingColumns=True).withColumn("_chunk", time_chunk("_at", chunk))
+    running = Window.partitionBy("asset", "_chunk").orderBy("_at", "_side", "_model").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    earlier = Window.partitionBy("asset").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        both.groupBy("asset", "_chunk")
+        .agg(F.max("_model").alias("_newest"))
+        .select("asset", "_chunk", F.last("_newest", ignorenulls=True).over(earlier).alias("_carried"))
+    )
+    here = F.last("_model", ignorenulls=True).over(running)
+    found = both.withColumn("_here", here).filter("_side = 1").join(carried, ["asset", "_chunk"], "left")
+    model = F.when(F.col("_at").isNotNull(), F.coalesce("_here", "_carried"))
+    return found.withColumn("_model", model).select(
+        "_row.*", "_model.model_uri", "_model.sliding_window", "_model.effective_date"
     )
 
 

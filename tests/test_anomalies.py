@@ -134,3 +134,28 @@ def test_pivot_then_unpivot(frame):
     assert wide.columns == ["timestamp", "y", "x"]
     long = reshape.unpivot_frame(wide).filter(F.col("value").isNotNull())
     assert sorted((r.tag, r.value) for r in long.collect()) == [("x", 2.0), ("y", 5.0)]
+
+
+@pytest.mark.parametrize("chunk", ["10min", "1day", "7days"])
+def test_models_in_force_match_looking_each_up(spark, chunk):
+    import random
+    from datetime import datetime, timedelta
+
+    draw = random.Random(3)
+    moments = [datetime(2024, 1, 1) + timedelta(minutes=20 * draw.randrange(400)) for _ in range(60)]
+    models = [(draw.choice("ABB"), f"m{k % 7}", 280 + k % 3, draw.choice(moments)) for k in range(80)]
+    models += [(None, "none", 1, moments[0]), ("A", "undated", 1, None), models[0], models[1]]
+    events = [(draw.choice(["A", "B", "C", None]), draw.choice([*moments, None]), k) for k in range(300)]
+    events += [("A", datetime(2023, 1, 1), 300), ("A", datetime(2025, 1, 1), 301), events[5]]
+    table = spark.createDataFrame(models, "asset string, model_uri string, sliding_window int, effective_date timestamp")
+    at = spark.createDataFrame(events, "asset string, timestamp timestamp, _chunk int")
+    found = assets.model_asof(table, at, chunk)
+    assert found.columns == ["asset", "timestamp", "_chunk", "model_uri", "sliding_window", "effective_date"]
+    want = []
+    for asset, t, k in events:
+        mine = [(d, u, w) for a, u, w, d in models if a == asset is not None and t is not None and d is not None and d <= t]
+        d, u, w = max(mine, default=(None, None, None))
+        want.append((asset, t, k, u, w, d))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    assert "collect" not in found._jdf.queryExecution().executedPlan().toString()
+    assert assets.model_asof(table.limit(0), at, chunk).filter("model_uri is not null").isEmpty()
