@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlens.llm.workers import Shared, memo, packed, rows
+from sensorlens.llm.workers import ROWS_AT_ONCE, Shared, memo, packed, rows
 
 # Tokens are hashed into this many word vectors of this many dimensions; an index vector has
 # NONZERO entries of +1 or -1; neighbours stand at most WINDOW tokens away.
@@ -38,6 +38,7 @@ TOKENS_AT_ONCE = 1 << 16
 MEMO_PIECES = 400_000
 
 _WORD = re.compile(r"\w+")
+_ROW = re.compile(r"(.)\1+")
 
 
 def _index() -> tuple[np.ndarray, np.ndarray]:
@@ -56,16 +57,24 @@ class Tokens(dict):
     one number: ``word * BUCKETS + form``."""
 
     def __missing__(self, piece: str) -> int:
-        word = "".join(_WORD.findall(piece)).lower()
-        shape = re.sub(r"(.)\1+", r"\1+", "".join(
-            "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in piece
-        ))
-        buckets = _bucket(word) * BUCKETS + _bucket("shape " + shape[:16])
+        letters = piece if piece[-1].isalnum() else piece[:-1]
+        if letters.isalpha() and letters.islower() and not _WORD.match(piece[len(letters) :]):
+            # Most new pieces: small letters and at most one sign behind.
+            word, shape = letters.lower(), ("x+" if len(letters) > 1 else "x") + piece[len(letters) :]
+        else:
+            word, shape = "".join(_WORD.findall(piece)).lower(), form(piece)
+        buckets = _bucket(word) * BUCKETS + _bucket("shape " + shape)
         if len(self) < MEMO_PIECES and len(piece) <= 64:
             self[piece] = buckets
         return buckets
 
 
+def form(piece: str) -> str:
+    """A piece with letters and digits blanked, and rows of the same sign put together."""
+    blank = ("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in piece)
+    return _ROW.sub(r"\1+", "".join(blank))
+
+
 _AGAIN = _bucket("same word again")
 
 
@@ -143,11 +152,9 @@ def word_vectors(contexts: np.ndarray) -> np.ndarray:
 def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of a text's word vectors, and its length; zeros for an empty text."""
     tokens = buckets_of(text)
-    total, squares = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
-    for at in range(0, len(tokens), TOKENS_AT_ONCE):
-        part = vectors[tokens[at : at + TOKENS_AT_ONCE]]
-        total += part.sum(axis=0, dtype=np.float64)
-        squares += np.square(part).sum(axis=0, dtype=np.float64)
+    different, times = np.unique(tokens, return_counts=True)
+    part, times = vectors[different].astype(np.float64), times.astype(np.float64)
+    total, squares = times @ part, times @ np.square(part)
     n = max(1, len(tokens))
     spread = np.sqrt(np.maximum(0.0, squares / n - np.square(total / n)))
     return np.concatenate((total / n, spread, [np.log1p(len(tokens)) / 10]))
@@ -277,11 +284,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = shared.value
 
-        def scores():
-            for doc_id, text in rows(batches):
-                yield doc_id, float(trained.network.probability(pooled(text, trained.vectors)))
-
-        yield from packed(scores(), schema)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                x = np.array([pooled(text, trained.vectors) for text in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(trained.network.probability(x))], schema=schema)
 
     table = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return table.mapInArrow(run, "doc_id long, score double")
