@@ -11,12 +11,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlens.llm.tokens import text_encoder
+from sensorlens.llm.tokens import texts_encoder
 from sensorlens.llm.wavelet import Wavelet, build
 from sensorlens.llm.workers import packed, rows
 
 # Tokens after which a matrix is closed; it ends with a whole document.
 SHARD_TOKENS = 1 << 20
+# Characters of texts that are encoded together; a longer text is encoded alone.
+CHARS_AT_ONCE = 1 << 20
 
 SHARD = (
     "part int, seq int, first long, n long, doc_ids array<long>, counts array<long>, "
@@ -49,7 +51,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: int |
         width = bits_of(tokenizer, end_id)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, part = text_encoder(tokenizer, keeps_space=False), TaskContext.get().partitionId()
+        encode, part = texts_encoder(tokenizer), TaskContext.get().partitionId()
         end = end_id.to_bytes(4, "little")
 
         def shards():
@@ -60,8 +62,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: int |
                 planes, ranks, zeros = build(np.frombuffer(b"".join(pieces), "<u4"), width)
                 return part, seq, first, n, doc_ids, counts, planes, ranks, zeros
 
-            for doc_id, text in rows(batches):
-                ids = ids_of(text) + end
+            for doc_id, ids in encoded(batches, encode):
+                ids += end
                 doc_ids.append(doc_id)
                 counts.append(len(ids) // 4)
                 pieces.append(ids)
@@ -75,6 +77,17 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, width: int |
 
         yield from packed(shards(), _SHARD, most=1)
 
+    def encoded(batches, encode) -> Iterator[tuple[int, bytes]]:
+        held, chars = [], 0
+        for doc_id, text in rows(batches):
+            if held and chars + len(text or "") > CHARS_AT_ONCE:
+                yield from zip((d for d, _ in held), encode([t for _, t in held]))
+                held, chars = [], 0
+            held.append((doc_id, text))
+            chars += len(text or "")
+        if held:
+            yield from zip((d for d, _ in held), encode([t for _, t in held]))
+
     table = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     table = table.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     table.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlens.llm import (
-    ann, bpe, chat, exact_dedup, langid, licences, packing, quality, queries, simhash, token_files, wavelet,
+    ann, bpe, chat, exact_dedup, langid, licences, packing, quality, queries, simhash, token_files, tokens, wavelet,
 )
 from sensorlens.session import scratch_dir
 
@@ -331,6 +331,20 @@ def test_token_files_round_trip(spark, which, request, monkeypatch):
     assert sorted(r.place for r in token_files.occurrences(spark, path, token).collect()) == [k for k, t in enumerate(every) if t == token]
 
 
+def test_words_encoded_together(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 40)
+    monkeypatch.setattr(tokens, "WORDS_AT_ONCE", 7)
+    tokenizer = tokens._tokenizer(queries.WORD_BPE)
+    words, rnd = tokens.Words(tokenizer), random.Random(5)
+    signs = "abABIΣσİ'́\x01\x1c\x85 \n<|>é中5,.!힣\U0001f600"
+    texts = [None, "", "\x01", "a \x01 b", "\x01\x01 x", "long" * 500 + " Y", "</w> <|endoftext|>", "It's É é"]
+    texts += ["".join(rnd.choices(signs, k=rnd.randint(0, 40))) for _ in range(400)]
+    want = [np.asarray(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for at in range(0, len(texts), 50):
+        assert words.texts(texts[at : at + 50]) == want[at : at + 50]
+    assert words.texts([]) == []
+
+
 def test_token_files_of_no_documents(spark, empty):
     path = scratch_dir(spark, "test")
     token_files.write(empty, path, queries.WORD_BPE, 2)
