@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlens.functions import text
@@ -36,6 +36,34 @@ def enrich_stream(stream: DataFrame, assets: DataFrame) -> DataFrame:
     return stream.join(assets.withColumnRenamed("AssetID", "asset"), "asset", "left")
 
 
+def _asof(rows: DataFrame, facts: DataFrame, since: str, fact: Column, chunk: str | int) -> DataFrame:
+    """``rows`` as a struct ``_row``, with the last ``_fact`` of their ``asset`` that began at or before
+    their ``timestamp``; null where there is none, or where asset or time is null.
+
+    ``fact`` is a struct of ``facts`` whose first field is ``since``; of equal times the largest counts.
+    Both tables become one in order of time, facts first: the last fact is carried over the rows behind
+    it within a chunk of time, and from chunk to chunk over one summary for each.
+    """
+    fields = F.struct(*[F.col(c) for c in rows.columns])
+    events = rows.select("asset", F.col("timestamp").alias("_at"), F.lit(1).alias("_side"), fields.alias("_row"))
+    known = facts.filter(F.col("asset").isNotNull() & F.col(since).isNotNull()).select(
+        "asset", F.col(since).alias("_at"), F.lit(0).alias("_side"), fact.alias("_fact")
+    )
+    both = events.unionByName(known, allowMissingColumns=True).withColumn("_chunk", time_chunk("_at", chunk))
+    running = Window.partitionBy("asset", "_chunk").orderBy("_at", "_side", "_fact").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    earlier = Window.partitionBy("asset").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        both.groupBy("asset", "_chunk")
+        .agg(F.max("_fact").alias("_newest"))
+        .select("asset", "_chunk", F.last("_newest", ignorenulls=True).over(earlier).alias("_carried"))
+    )
+    here = F.last("_fact", ignorenulls=True).over(running)
+    found = both.withColumn("_here", here).filter("_side = 1").join(carried, ["asset", "_chunk"], "left")
+    return found.select("_row", F.when(F.col("_at").isNotNull(), F.coalesce("_here", "_carried")).alias("_fact"))
+
+
 def model_asof(models: DataFrame, at: Moment | DataFrame, chunk: str | int = "1day") -> DataFrame:
     """The model in force: newest ``effective_date`` not after the moment, ties to the larger uri.
 
@@ -51,30 +79,29 @@ def model_asof(models: DataFrame, at: Moment | DataFrame, chunk: str | int = "1d
             .agg(F.max(newest).alias("_model"))
             .select("asset", "_model.model_uri", "_model.sliding_window", "_model.effective_date")
         )
-    # Both tables as one, in order of time, models first: the last model is carried over the rows
-    # behind it within a chunk of time, and from chunk to chunk over one summary for each.
-    nothing = F.lit(None).cast(_MODEL)
-    fields = F.struct(*[F.col(c) for c in at.columns])
-    events = at.select("asset", F.col("timestamp").alias("_at"), F.lit(1).alias("_side"), nothing.alias("_model"), fields.alias("_row"))
-    known = models.filter(F.col("asset").isNotNull() & F.col("effective_date").isNotNull()).select(
-        "asset", F.col("effective_date").alias("_at"), F.lit(0).alias("_side"),
-        newest.cast(_MODEL).alias("_model"),
-    )
-    both = events.unionByName(known, allowMissingColumns=True).withColumn("_chunk", time_chunk("_at", chunk))
-    running = Window.partitionBy("asset", "_chunk").orderBy("_at", "_side", "_model").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    return _asof(at, models, "effective_date", newest.cast(_MODEL), chunk).select(
+        "_row.*", "_fact.model_uri", "_fact.sliding_window", "_fact.effective_date"
     )
-    earlier = Window.partitionBy("asset").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        both.groupBy("asset", "_chunk")
-        .agg(F.max("_model").alias("_newest"))
-        .select("asset", "_chunk", F.last("_newest", ignorenulls=True).over(earlier).alias("_carried"))
+
+
+def attributes_asof(rows: DataFrame, history: DataFrame, chunk: str | int = "1day") -> DataFrame:
+    """``rows`` (``asset``, ``timestamp``) with the attributes that their asset had at their time.
+
+    ``history`` holds ``AssetID``, ``valid_from``, ``version`` and attributes, a row for each change;
+    the newest ``valid_from`` not after the row counts, then the largest ``version``, then the largest
+    attributes. Rows of unknown assets, of times before the first change, and without asset or time
+    are kept with nulls. An attribute named like a column of ``rows`` raises ``ValueError``.
+    """
+    attributes = [c for c in history.columns if c not in ("AssetID", "valid_from", "version")]
+    clashing = set(attributes + ["valid_from"]) & set(rows.columns)
+    if clashing:
+        raise ValueError(f"columns in both tables: {sorted(clashing)}")
+    facts = history.withColumnRenamed("AssetID", "asset").join(
+        rows.select("asset").distinct(), "asset", "left_semi"
     )
-    here = F.last("_model", ignorenulls=True).over(running)
-    found = both.withColumn("_here", here).filter("_side = 1").join(carried, ["asset", "_chunk"], "left")
-    model = F.when(F.col("_at").isNotNull(), F.coalesce("_here", "_carried"))
-    return found.withColumn("_model", model).select(
-        "_row.*", "_model.model_uri", "_model.sliding_window", "_model.effective_date"
+    fact = F.struct("valid_from", "version", *attributes)
+    return _asof(rows, facts, "valid_from", fact, chunk).select(
+        "_row.*", "_fact.valid_from", *[F.col("_fact")[c].alias(c) for c in attributes]
     )
 
 

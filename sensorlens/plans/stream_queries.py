@@ -12,11 +12,12 @@ from sensorlens.operators.assets import enrich_stream
 from sensorlens.operators.reshape import expand_interpretation, expand_metrics
 from sensorlens.plans import replay
 from sensorlens.plans.asset_queries import alert_sql, runs_sql
-from sensorlens.plans.fixtures import Tables, sql
+from sensorlens.plans.fixtures import START, Tables, sql
 from sensorlens.plans.registry import query, rounded
 from sensorlens.sources import streams
 from sensorlens.streaming import ingest
 from sensorlens.streaming.alerts import sustained_alerts_stream
+from sensorlens.streaming.dimension import enrich_changing, publish_dimension
 
 _ANOMALOUS = "SELECT * FROM anomalies WHERE is_anomaly"
 
@@ -171,6 +172,53 @@ def _(t):
     return out.select("asset", "timestamp", "severity", "AssetCode", "Latitude")
 
 
+_MOVED = "AssetID string, valid_from timestamp, AssetCode string, Latitude double"
+
+
+@query(
+    "enriched_changes_stream",
+    sql(
+        "anomalies assets",
+        f"""
+        WITH weeks AS (SELECT unnest(range(0, 6)) AS week),
+        history AS (
+            SELECT AssetID, TIMESTAMP '{START}' + to_days(CAST(7 * week AS INTEGER)) AS valid_from,
+                concat(AssetCode, '-', week) AS AssetCode, Latitude + 0.5 * week AS Latitude
+            FROM assets, weeks WHERE week = 0 OR (CAST(substr(AssetID, 2) AS BIGINT) + week) % 2 = 0)
+        SELECT a.asset, a.timestamp, a.severity, h.valid_from, h.AssetCode, h.Latitude
+        FROM ({_ANOMALOUS}) a ASOF LEFT JOIN history h ON a.asset = h.AssetID AND a.timestamp >= h.valid_from
+        """,
+    ),
+)
+def _(t):
+    path, checkpoint = _paths(t, "enriched-changes")
+    number = F.substring("AssetID", 2, 20).cast("bigint")
+
+    def move(week: int) -> None:
+        """All assets in week 0, and half of them in each later week."""
+        changed = t.assets.filter((F.lit(week) == 0) | ((number + week) % 2 == 0)).select(
+            "AssetID",
+            (F.lit(START).cast("timestamp") + F.make_dt_interval(F.lit(7 * week))).alias("valid_from"),
+            F.concat("AssetCode", F.lit(f"-{week}")).alias("AssetCode"),
+            (F.col("Latitude") + 0.5 * week).alias("Latitude"),
+        )
+        publish_dimension(changed, f"{path}/dimension", week)
+
+    def before(spark, batch_id: int) -> None:
+        # Batch N ends with file 2 N + 1 at the latest, and so before that week's end.
+        for week in (2 * batch_id + 1, 2 * batch_id + 2):
+            if week < 6:
+                move(week)
+
+    move(0)
+    stream = streams.read_anomaly_stream(t.spark, replay.anomaly_messages(t), max_files=2)
+    enrich_changing(
+        ingest.anomaly_rows(stream), f"{path}/dimension", _MOVED, f"{path}/rows", checkpoint, before=before
+    ).awaitTermination()
+    out = t.spark.read.parquet(f"{path}/rows").filter(F.col("asset") != replay.CLOSING)
+    return out.select("asset", "timestamp", "severity", "valid_from", "AssetCode", "Latitude")
+
+
 @query(
     "quarantined_rows",
     "SELECT event_id, props FROM events "
