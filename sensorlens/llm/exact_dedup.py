@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlens.llm.workers import hold, packed
+from sensorlens.llm.workers import every_column, hold, packed
 
 # A digest is frequent if it stands in at least one in FREQUENT rows. With four times as many
 # counters a task's summary misses at most a quarter of that share, so at most FREQUENT / 0.75
@@ -102,11 +102,15 @@ def verdicts(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """The rows that stay, in all their columns; of rows that repeat a ``doc_id`` and its text, one."""
+    """The rows that stay, in all their columns; of rows that repeat a ``doc_id`` and its text, one.
+
+    Null and empty texts are copies of each other; a row with a null ``doc_id`` stays only if no row with
+    one has its text; an empty table gives no rows.
+    """
     kept = hold(verdicts(docs, frequent).filter("kept").groupBy("doc_id", "digest").count(), "kept")
     kept = kept.select(F.col("doc_id").alias("k"), F.col("digest").alias("d"), F.col("count").alias("n"))
     # The row as one struct, so that none of its columns can clash with these.
-    places = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), digest().alias("digest"))
+    places = docs.select(F.struct(*every_column(docs)).alias("row"), F.col("doc_id").cast("long").alias("id"), digest().alias("digest"))
     stay = places.join(kept, F.col("id").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d")))
     if kept.filter("n > 1").isEmpty():
         return stay.select("row.*")

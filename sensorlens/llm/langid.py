@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlens.llm.workers import Shared, packed, rows
+from sensorlens.llm.workers import Shared, every_column, packed, rows
 
 ORDER = 5
 # One of so many labelled documents calibrates, by its hash. The models learn from all others.
@@ -387,4 +387,4 @@ def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """
     verdicts = identify(docs, model).filter("doc_id is not null").groupBy("doc_id")
     gone = verdicts.agg(F.expr("bool_and(rejected)").alias("gone")).filter("gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*every_column(docs))

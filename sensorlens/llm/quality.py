@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlens.llm.workers import ROWS_AT_ONCE, Shared, memo, packed, rows
+from sensorlens.llm.workers import ROWS_AT_ONCE, Shared, every_column, memo, packed, rows
 
 # Tokens are hashed into this many word vectors of this many dimensions; an index vector has
 # NONZERO entries of +1 or -1; neighbours stand at most WINDOW tokens away.
@@ -299,4 +299,4 @@ def keep_good(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     stay if one of them does; rows with a null ``doc_id`` stay, as no verdict can be tied to them."""
     best = score(docs, model).filter("doc_id is not null").groupBy("doc_id")
     gone = best.agg(F.max("score").alias("best")).filter(F.col("best") < least)
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*every_column(docs))

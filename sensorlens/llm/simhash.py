@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlens.llm.workers import hold, packed, rows
+from sensorlens.llm.workers import every_column, hold, packed, rows
 
 SEED = 42
 # Fingerprints that the upper tree is grown from; that live in a shard, about; and that visit a
@@ -453,4 +453,4 @@ def keep_one(docs: DataFrame, rule: Rule = SIMILAR) -> DataFrame:
     """
     copies = near_copies(docs, rule).groupBy("doc_id")
     gone = copies.agg(F.expr("bool_and(doc_id != component_id)").alias("gone")).filter("gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*every_column(docs))

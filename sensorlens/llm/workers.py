@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sensorlens.session import scratch_dir
@@ -85,6 +86,11 @@ def packed(records: Iterable[tuple], schema: pa.Schema, most: int = 4096) -> Ite
         yield batch()
 
 
+def every_column(df: DataFrame) -> list[Column]:
+    """All columns in order, whatever their names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def hold(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     """Writes a result to the cluster's shared folder and reads it back, so that lost executors
     cost one task and not the steps behind it."""

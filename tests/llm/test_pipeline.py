@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 
@@ -48,3 +49,43 @@ def test_stages(spark, small):
 def test_run(spark, small):
     rows = corpus_pipeline.run(spark, small).collect()
     assert rows and len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
+def tables(docs, labels, folder):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_run_on_empty_tables(spark, small, folder):
+    docs, labels = (spark.read.parquet(f"{small}/{name}.parquet").limit(0) for name in ("documents", "labels"))
+    assert corpus_pipeline.run(spark, tables(docs, labels, folder)).collect() == []
+
+
+def test_stages_on_hard_rows(spark, small, folder):
+    """Nulls, empty and very long texts, repeated rows and ids, and columns with clashing or odd names."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    first = docs.filter("doc_id < 5").collect()
+    long = " ".join(row.text or "" for row in docs.filter("doc_id < 40").collect()) * 3
+    odd = [tuple(row) for row in first] + [(first[1].doc_id, "another text of the same id", "en", "s", 1)]
+    odd += [(None, first[2].text, None, None, None), (None, None, None, None, None), (-1, None, "en", "s", None)]
+    odd += [(-2, "", None, "s", 0), (-3, long, "en", "s", 1), (-4, long.upper(), "en", "s", 1), (-5, "\x00\x1c 42", "zz", "s", 1)]
+    docs = docs.union(spark.createDataFrame(odd, docs.schema))
+    names = ("a.b", "b`c", "gone", "best", "row", "k", "d", "n", "id", "digest", "label", "print", "score", "content")
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in names})
+    docs = spark.read.parquet(f"{tables(docs, spark.read.parquet(f'{small}/labels.parquet'), folder)}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {tuple(row) for row in docs.collect()}
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns, name
+        docs.write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        assert {tuple(row) for row in docs.collect()} <= before, name
+        if name == "exact dedup":
+            texts = [(row.text or "").encode().lower() for row in docs.collect()]
+            assert len(texts) == len(set(texts))
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    places = [(row.sequence_id, row.offset) for row in pieces]
+    assert len(places) == len(set(places))
+    assert {row.doc_id for row in pieces} == {row.doc_id for row in docs.collect()}
