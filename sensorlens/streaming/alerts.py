@@ -15,8 +15,10 @@ from sensorlens.operators.alerts import SUSTAINED_RULE, as_alerts
 from sensorlens.streaming.ingest import TOLERANCE, with_tolerance
 
 _OUTPUT = "asset string, run_start timestamp, timestamp timestamp, severity double"
-_RUN = "run_start long, last long, fired boolean"
-_WAITING_KEY, _WAITING = "end_ms long", "us array<long>, severity array<double>"
+_RUN = "run_start long, last long, fired boolean, done long"
+_WAITING = "us array<long>, severity array<double>"
+# Fixed value: lists per asset that waiting events are dealt to; the delay covers half of them.
+_LISTS = 16
 # Fixed value: the store that keeps map entries and timers apart, so each is written for itself.
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _EMPTY = pd.DataFrame({"run_start": [], "us": [], "severity": []})
@@ -57,47 +59,71 @@ def advance_run(
 
 
 class SustainedRuns(StatefulProcessor):
-    """The rule for one asset: the open run, and events that wait in buckets of time.
-
-    An event is written to its bucket only, and a new bucket sets a timer at its end. When the
-    watermark reaches it no event of the bucket can come any more: its events go to the rule in time
-    order, and the bucket is removed. Timers of an asset fire in order of time.
+    """The rule for one asset: the open run, and events that wait in lists by chunks of time.
+
+    A batch appends its own events to the lists of their chunks, a row for each ``bucket`` of time,
+    and sets a timer just after the first of them in a chunk. When the watermark passes it, no event
+    before the watermark can come any more: the chunk's events up to there go to the rule in time
+    order, and the next one left sets a timer again. A list is emptied when its chunk is done, so
+    calls to the state follow the chunks and batches, not the events. Timers of an asset fire in
+    order of time. Chunks that are ``_LISTS`` apart share a list.
     """
 
-    def __init__(self, threshold: float, period: int, max_gap: int | None, bucket_ms: int):
+    def __init__(self, threshold: float, period: int, max_gap: int | None, bucket_ms: int, chunk_ms: int):
         self.rule = threshold, period, max_gap
-        self.bucket_ms = bucket_ms
+        self.bucket_us = 1000 * bucket_ms
+        self.chunk_ms = chunk_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.run = handle.getValueState("run", _RUN)
-        self.waiting = handle.getMapState("waiting", _WAITING_KEY, _WAITING)
+        self.waiting = [handle.getListState(f"waiting{k}", _WAITING) for k in range(_LISTS)]
+
+    def _pieces(self, us: np.ndarray, severity: np.ndarray) -> list[tuple[list[int], list[float]]]:
+        """Events in time order as one row per bucket."""
+        cuts = np.flatnonzero(np.diff(us // self.bucket_us)) + 1
+        ends = [0, *cuts.tolist(), len(us)]
+        times, levels = us.tolist(), severity.tolist()
+        return [(times[a:b], levels[a:b]) for a, b in zip(ends, ends[1:])]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
             us, severity = frame["us"].to_numpy("int64"), frame["severity"].to_numpy(float)
-            ends = (us // (1000 * self.bucket_ms) + 1) * self.bucket_ms
-            for end in np.unique(ends).tolist():
-                mine = ends == end
-                times, levels = us[mine].tolist(), severity[mine].tolist()
-                if self.waiting.containsKey((end,)):
-                    known = self.waiting.getValue((end,))
-                    times, levels = [*known[0], *times], [*known[1], *levels]
-                else:
-                    self.handle.registerTimer(end)
-                self.waiting.updateValue((end,), (times, levels))
+            order = np.argsort(us)
+            us, severity = us[order], severity[order]
+            chunks = us // (1000 * self.chunk_ms)
+            for chunk in np.unique(chunks).tolist():
+                a, b = np.searchsorted(chunks, (chunk, chunk + 1)).tolist()
+                self.waiting[chunk % _LISTS].appendList(self._pieces(us[a:b], severity[a:b]))
+                self.handle.registerTimer(int(us[a]) // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        times, levels = self.waiting.getValue((end,))
-        self.waiting.removeKey((end,))
+        chunk = (expiredTimerInfo.getExpiryTimeInMs() - 1) // self.chunk_ms
+        end = (chunk + 1) * self.chunk_ms
+        until = min(timerValues.getCurrentWatermarkInMs(), end)
+        *before, done = self.run.get() if self.run.exists() else (None, None, False, None)
+        if done is not None and done >= until:
+            return  # an earlier timer of the chunk saw to it
+        times, levels = [], []
+        waiting = self.waiting[chunk % _LISTS]
+        for some_times, some_levels in waiting.get():
+            times += some_times
+            levels += some_levels
         us, severity = np.asarray(times, "int64"), np.asarray(levels, float)
         order = np.lexsort((severity, us))
-        before = self.run.get() if self.run.exists() else (None, None, False)
-        hits, run_start, last, fired = advance_run(us[order], severity[order], *self.rule, *before)
-        if run_start is not None:
-            self.run.update((run_start, last, fired))
+        us, severity = us[order], severity[order]
+        first = 0 if done is None else np.searchsorted(us, 1000 * done)
+        due, rest = np.searchsorted(us, (1000 * until, 1000 * end)).tolist()
+        hits, run_start, last, fired = advance_run(us[first:due], severity[first:due], *self.rule, *before)
+        if due < rest:
+            self.handle.registerTimer(int(us[due]) // 1000 + 1)
+        elif rest < len(us):
+            waiting.put(self._pieces(us[rest:], severity[rest:]))
+        elif len(us):
+            waiting.clear()
+        if run_start is not None or due < rest:
+            self.run.update((run_start, last, fired, until))
         elif self.run.exists():
             self.run.clear()
         if len(hits):
@@ -124,9 +150,9 @@ def sustained_alerts_stream(
 ) -> DataFrame:
     """One alert per run that stays at or above the threshold for ``period``.
 
-    Events wait until the watermark passes their ``bucket`` of time, so they are judged in time
-    order. A batch writes the buckets of its own events and no others. The session keeps the state
-    of streams started from now on in RocksDB, which this needs.
+    Events wait until the watermark passes them, so they are judged in time order. A batch writes a
+    row for each ``bucket`` of time of its own events and no others. The session keeps the state of
+    streams started from now on in RocksDB, which this needs.
     """
     width = timing.duration(bucket)
     if width < 1000 or width % 1000:
@@ -140,6 +166,8 @@ def sustained_alerts_stream(
         F.unix_micros("timestamp").alias("us"),
         F.coalesce("severity", F.lit(float("-inf"))).alias("severity"),
     )
-    rule = SustainedRuns(threshold, timing.duration(period), gap, width // 1000)
+    wait = f"SELECT unix_micros(timestamp_seconds(0) + CAST('{delay}' AS INTERVAL))"
+    chunk = width * max(1, -(-2 * stream.sparkSession.sql(wait).first()[0] // (_LISTS * width)))
+    rule = SustainedRuns(threshold, timing.duration(period), gap, width // 1000, chunk // 1000)
     runs = events.groupBy("asset").transformWithStateInPandas(rule, _OUTPUT, "append", "eventTime")
     return as_alerts(runs, SUSTAINED_RULE)
