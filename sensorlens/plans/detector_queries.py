@@ -248,7 +248,8 @@ def _(t):
     told = out.withColumn("told", F.from_json("interpretation", schemas.INTERPRETATION)).select(
         "is_anomaly", "asset", "timestamp", "score", "severity",
         F.col("told.tag").alias("tags"),
-        F.transform("told.contribution_score", lambda v: F.round(v, 6)).alias("contributions"),
+        # Spark's round drops the sign of a negative zero (a missing sensor's share), which SQL's keeps.
+        F.transform("told.contribution_score", lambda v: F.when(v == 0, v).otherwise(F.round(v, 6))).alias("contributions"),
         F.transform("told", lambda p: F.transform(p["correlation_changes"]["changed_values"], lambda v: F.round(v, 6))).alias("changes"),
     )
     return rounded(told, "score", "severity")

@@ -207,3 +207,23 @@ def test_running_sums_equal_products_of_each_window():
             live = ~still
             np.testing.assert_allclose(got[np.ix_(live, live)], want[np.ix_(live, live)], atol=1e-7)
     assert list(mvad.trailing_correlations(z, last[:0], last[:0])) == []
+
+
+def test_new_anomalies_keep_the_sign_of_zero_shares(spark):
+    """Lists are compared by their text, where -0.0 is not 0.0."""
+    import glob
+    import os
+
+    import duckdb
+
+    import __spark_entry__ as contract
+
+    tables, name = "/root/testdata/sf0.01", "mvad_new_anomalies"
+    db = duckdb.connect()
+    for path in glob.glob(f"{tables}/*.parquet"):
+        db.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+    found = db.execute(f"SELECT asset, timestamp, contributions FROM ({contract.oracle_sql()[name]}) WHERE is_anomaly = 1")
+    want = {(asset, at): repr(shares) for asset, at, shares in found.fetchall()}
+    got = contract.queries()[name](spark, tables).filter("is_anomaly = 1").collect()
+    assert {(r.asset, r.timestamp): repr(r.contributions) for r in got} == want
+    assert any("-0.0" in shares for shares in want.values())
