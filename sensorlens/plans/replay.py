@@ -7,12 +7,11 @@ message far in the future moves the watermark past all real events.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlens import session
+from sensorlens.functions import timing
 from sensorlens.operators.assets import asset_telemetry
 from sensorlens.plans.fixtures import Tables
 from sensorlens.sources import files
@@ -23,25 +22,46 @@ CLOSING = "ZZZ"
 CLOSING_TIME = "2100-01-01T00:00:00"
 
 _written: dict[tuple[str, str, str], str] = {}
+_ends: dict[str, list[int]] = {}  # files up to the end of each slice
 
 
 def _slices(df: DataFrame):
-    """Time slices in order; their number grows with the time covered, not with the rows."""
-    first, last = df.agg(F.min("timestamp"), F.max("timestamp")).first()
-    begin = first
-    while begin <= last:
-        end = begin + timedelta(days=SLICE_DAYS)
-        inside = (F.col("timestamp") >= F.lit(begin)) & (F.col("timestamp") < F.lit(end))
-        yield df.filter(inside)
-        begin = end
+    """Time slices in order; their number grows with the time covered, not with the rows. One pass
+    over the rows deals them out, so each slice reads its own only."""
+    first = df.agg(F.min("timestamp")).first()[0]
+    if first is None:
+        return
+    since = F.unix_micros("timestamp") - F.unix_micros(F.lit(first))
+    number = F.floor(since / F.lit(SLICE_DAYS * timing.DAY))
+    path = session.scratch_dir(df.sparkSession, "slices")
+    dealt = df.filter(F.col("timestamp").isNotNull()).withColumn("_slice", number)
+    dealt.write.partitionBy("_slice").parquet(path)
+    held = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    for k in range(held.agg(F.max("_slice")).first()[0] + 1):
+        yield held.filter(F.col("_slice") == k).drop("_slice")
+
+
+def _files(spark: SparkSession, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+    return len(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place))
+
+
+def files_of(path: str, slices: int) -> int:
+    """Files per micro-batch with which batch N holds nothing beyond the first ``slices * (N + 1)``
+    slices, however many files a slice has: batches follow the time covered, not the rows."""
+    ends = _ends[path]
+    full = [ends[slices * k - 1] // k for k in range(1, len(ends)) if slices * k < len(ends)]
+    return max(1, min(full, default=sum(ends[-1:])))
 
 
 def _write(t: Tables, kind: str, rows: DataFrame, to_messages, closing: str | None) -> str:
     key = (t.spark.sparkContext.applicationId, t.dir, kind)
     if key not in _written or not session.exists(t.spark, _written[key]):
         path = session.scratch_dir(t.spark, kind)
+        _ends[path] = []
         for part in _slices(rows):
             to_messages(part).select("value").write.mode("append").text(path)
+            _ends[path].append(_files(t.spark, path))
         if closing:
             last = t.spark.range(1).select(F.lit(closing).alias("value"))
             last.write.mode("append").text(path)

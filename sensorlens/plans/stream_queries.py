@@ -205,13 +205,14 @@ def _(t):
         publish_dimension(changed, f"{path}/dimension", week)
 
     def before(spark, batch_id: int) -> None:
-        # Batch N ends with file 2 N + 1 at the latest, and so before that week's end.
+        # Batch N ends with week 2 N + 1 at the latest.
         for week in (2 * batch_id + 1, 2 * batch_id + 2):
             if week < 6:
                 move(week)
 
     move(0)
-    stream = streams.read_anomaly_stream(t.spark, replay.anomaly_messages(t), max_files=2)
+    messages = replay.anomaly_messages(t)
+    stream = streams.read_anomaly_stream(t.spark, messages, max_files=replay.files_of(messages, 2))
     enrich_changing(
         ingest.anomaly_rows(stream), f"{path}/dimension", _MOVED, f"{path}/rows", checkpoint, before=before
     ).awaitTermination()
