@@ -47,3 +47,11 @@ def test_files_of_a_batch(ends, size):
 
 def test_nothing_to_replay(spark, frame):
     assert list(replay._slices(frame("timestamp timestamp, value double", []))) == []
+
+
+def test_readings_are_dealt_out_before_they_are_gathered(spark, small):
+    from sensorlens.sources.files import to_metric_envelopes
+
+    rows = Tables(spark, small).events.selectExpr("asset", "ts AS timestamp", "event_type AS tag", "value")
+    plan = to_metric_envelopes(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("ObjectHashAggregate(") < plan.index("Exchange")
